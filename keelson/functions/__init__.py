@@ -4,8 +4,10 @@ from keelson.functions.columns import (
     other_side,
     row_struct,
     safe_ratio,
+    single_blanks,
     sort_keys,
     to_ascii,
+    tokens_of,
     words,
 )
 
@@ -15,7 +17,9 @@ __all__ = [
     "other_side",
     "row_struct",
     "safe_ratio",
+    "single_blanks",
     "sort_keys",
     "to_ascii",
+    "tokens_of",
     "words",
 ]

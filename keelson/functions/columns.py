@@ -34,15 +34,25 @@ def affine(value: Column, scale: float, offset: float, places: int | None = None
     return out if places is None else F.round(out, places)
 
 
+def single_blanks(line: Column) -> Column:
+    """Every whitespace character of a line as a blank."""
+    return F.translate(line, "\t\n\r\f\v", "     ")
+
+
+def tokens_of(line: Column) -> Column:
+    """Whitespace-separated tokens of a line, as an array without empty ones.
+
+    A one-character split skips the regex engine, which would compile its pattern per line.
+    """
+    return F.array_remove(F.split(single_blanks(line), " "), "")
+
+
 def field(line: Column, sep: str | None, index: int, kind: str) -> Column:
     """Field ``index`` of a separated line, NULL if absent or not of type ``kind``.
 
     ``sep=None`` splits on runs of whitespace.
     """
-    if sep is None:
-        parts = F.split(F.trim(line), r"\s+")
-    else:
-        parts = F.split(line, re.escape(sep))
+    parts = tokens_of(line) if sep is None else F.split(line, re.escape(sep))
     return F.get(parts, F.lit(index)).try_cast(kind)
 
 

@@ -6,23 +6,27 @@ owns a third of the edges is still spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from keelson.session import work_dir
 
 
-def edges(adjacency: DataFrame, symmetric: bool = False, distinct: bool = True) -> DataFrame:
-    """Edge table of ``(id, connections)`` rows; ``symmetric`` adds each edge's reverse."""
+def edges(adjacency: DataFrame) -> DataFrame:
+    """Distinct edges of ``(id, connections)`` rows, directed as listed."""
     out = adjacency.select(F.col("id").alias("src"), F.explode("connections").alias("dst"))
-    if symmetric:
-        out = out.unionByName(out.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return out.distinct() if distinct else out
+    return out.where(F.col("dst").isNotNull()).distinct()
+
+
+def symmetric(edge_table: DataFrame) -> DataFrame:
+    """Distinct edges in both directions, from one pass over the input."""
+    both = F.stack(F.lit(2), "src", "dst", "dst", "src").alias("src", "dst")
+    return edge_table.select(both).distinct()
 
 
 def degrees(adjacency: DataFrame, distinct: bool = False) -> DataFrame:
-    """Connections per vertex over all of its lines; repeats count unless ``distinct``."""
+    """Connections listed by each vertex over all of its lines; repeats count unless ``distinct``."""
     if distinct:
         # Vertices without a neighbour keep degree 0.
         ids = adjacency.select(F.col("id"), F.explode_outer("connections").alias("dst")).distinct()
@@ -46,7 +50,7 @@ def adjacency(edge_table: DataFrame, width: int = 4096) -> DataFrame:
     return (
         pairs.join(wide, "src", "left")
         .groupBy(F.col("src").alias("id"), chunk.alias("chunk"))
-        .agg(F.array_sort(F.collect_set("dst")).alias("connections"))
+        .agg(F.sort_array(F.collect_set("dst")).alias("connections"))
     )
 
 
@@ -70,20 +74,22 @@ def bfs_distances(
     edge_table.select("src", "dst").where("src <> dst").distinct().write.parquet(f"{root}/edges")
     graph = spark.read.parquet(f"{root}/edges")
 
-    def level(depth: int) -> DataFrame:
-        return spark.read.schema(StructType([schema["id"]])).parquet(f"{levels}/distance={depth}")
-
-    first = spark.range(1).select(F.lit(start).cast(id_type).alias("id"))
-    first.write.parquet(f"{levels}/distance=0")
-    for depth in range(1, max_depth + 1):
-        if target is not None and not level(depth - 1).where(F.col("id") == target).isEmpty():
-            break
-        frontier = level(depth - 1).withColumnRenamed("id", "src")
-        visited = spark.read.schema(schema).parquet(levels).select("id")
-        reached = graph.join(frontier, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
-        reached.join(visited, "id", "left_anti").write.parquet(f"{levels}/distance={depth}")
-        if level(depth).isEmpty():
-            break
+    def save(vertices: DataFrame, depth: int) -> dict:
+        """Write a level; its size and whether it holds the target come from the same job."""
+        seen = Observation()
+        hit = F.max(F.col("id") == F.lit(target)) if target is not None else F.lit(None)
+        counted = vertices.observe(seen, F.count(F.lit(1)).alias("n"), hit.alias("hit"))
+        counted.write.parquet(f"{levels}/distance={depth}")
+        return seen.get
+
+    state = save(spark.range(1).select(F.lit(start).cast(id_type).alias("id")), 0)
+    depth = 0
+    while state["n"] and not state["hit"] and depth < max_depth:
+        reached = spark.read.schema(schema).parquet(levels)
+        frontier = reached.where(F.col("distance") == depth).select(F.col("id").alias("src"))
+        ahead = graph.join(frontier, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
+        depth += 1
+        state = save(ahead.join(reached, "id", "left_anti"), depth)
     return spark.read.schema(schema).parquet(levels)
 
 

@@ -6,7 +6,7 @@ Two items are compared over the users who rated both:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,10 @@ from keelson.operators.ranking import top_k
 # unit's memory, not the result: users with more items are split into several units.
 UNIT_ITEMS = 256
 
+# A task keeps the sums of up to this many items in memory as a square, and passes them on only
+# when other items come. Batches with more items pass their sums on at once.
+GRID = 1024
+
 
 def unique_ratings(ratings: DataFrame) -> DataFrame:
     """One row per (user, item), the highest rating, so that the sums count each user once."""
@@ -32,8 +36,8 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
     """``(item_x, item_y, sum_xx, sum_xy, sum_yy, strength)`` for co-rated items, ``item_x < item_y``.
 
     No row per user and pair ever leaves a task. Work is cut into units of bounded size; a task
-    multiplies out the units of one Arrow batch at a time and passes on the sums per item pair,
-    which are summed again after the shuffle. The usual user is one unit. A user with more than
+    multiplies out its units and passes on sums per item pair, which are summed again after the
+    shuffle. The usual user is one unit. A user with more than
     ``UNIT_ITEMS`` items has them hashed to blocks and one unit for every two blocks, so the
     pairs of the hottest user are spread over the cluster. ``ratings`` are unique per (user, item).
     """
@@ -43,8 +47,10 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
         frequent = frequent.where(F.col("raters") >= min_strength).select("item")
         ratings = ratings.join(frequent, "item", "left_semi")
 
+    # Counting the rating, not the rows, keeps this branch's columns equal to the other's, so that
+    # both read one shuffle of the ratings.
     wide = (
-        ratings.groupBy("user").agg(F.count(F.lit(1)).alias("items"))
+        ratings.groupBy("user").agg(F.count("rating").alias("items"))
         .where(F.col("items") > UNIT_ITEMS)
         .select("user", F.ceil(F.col("items") / UNIT_ITEMS).alias("blocks"))
     )
@@ -72,67 +78,93 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
     pairs = (
         units.repartition("user", "left", "right")
         .sortWithinPartitions("user", "left", "right", "block")
-        .mapInPandas(_pair_sums, partial)
+        .mapInPandas(_pair_summer(), partial)
         .groupBy("item_x", "item_y")
         .agg(*(F.sum(c).alias(c) for c in sums), F.sum("strength").alias("strength"))
     )
     return pairs.where(F.col("strength") >= min_strength) if min_strength > 1 else pairs
 
 
-def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums per item pair of each batch. A unit cut by a batch end waits for its other rows."""
-    rest = None
-    for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        starts = _unit_starts(rows)
-        rest = rows.iloc[starts[-1]:]
-        if starts[-1] > 0:
-            yield _sum_units(rows.iloc[: starts[-1]], starts[:-1])
-    if rest is not None and len(rest):
-        yield _sum_units(rest, np.zeros(1, dtype=np.int64))
-
-
-def _unit_starts(rows: pd.DataFrame) -> np.ndarray:
-    key = rows[["user", "left", "right"]]
-    return np.flatnonzero(np.append(True, (key.values[1:] != key.values[:-1]).any(axis=1)))
-
-
-def _sum_units(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    n = len(rows)
-    ends = np.append(starts[1:], n)
-    unit = np.repeat(np.arange(len(starts)), ends - starts)
-    diagonal = (rows["left"].values == rows["right"].values)
-    is_right = rows["block"].values == rows["right"].values
-    # Rows of a unit are sorted by block. Partners of a row: in a one-block unit all later rows,
-    # in a two-block unit the rows of the right block, for rows of the left one.
-    first_right = ends - np.bincount(unit, weights=is_right, minlength=len(starts)).astype(np.int64)
-    begin = np.where(diagonal, np.arange(n) + 1, first_right[unit])
-    partners = np.where(diagonal | ~is_right, ends[unit] - begin, 0)
-    a = np.repeat(np.arange(n), partners)
-    offset = np.arange(len(a)) - np.repeat(np.cumsum(partners) - partners, partners)
-    b = np.repeat(begin, partners) + offset
-
-    code, items = pd.factorize(rows["item"].values, sort=True)
-    rating = rows["rating"].values
-    swap = code[a] > code[b]
-    x, y = np.where(swap, b, a), np.where(swap, a, b)
-    pair = code[x].astype(np.int64) * len(items) + code[y]
-    if len(items) ** 2 <= 4 * len(pair):
-        keys, size = None, len(items) ** 2
-    else:
-        keys, pair = np.unique(pair, return_inverse=True)
-        size = len(keys)
-    strength = np.bincount(pair, minlength=size)
-    out = {
-        "sum_xx": np.bincount(pair, rating[x] ** 2, size),
-        "sum_xy": np.bincount(pair, rating[x] * rating[y], size),
-        "sum_yy": np.bincount(pair, rating[y] ** 2, size),
-        "strength": strength,
-    }
-    if keys is None:
-        keys = np.flatnonzero(strength)
-        out = {name: values[keys] for name, values in out.items()}
-    return pd.DataFrame({"item_x": items[keys // len(items)], "item_y": items[keys % len(items)], **out})
+def _pair_summer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The task-side function: nested, so that it ships by value and workers need no package."""
+    names = ["sum_xx", "sum_xy", "sum_yy", "strength"]
+
+    def unit_starts(rows: pd.DataFrame) -> np.ndarray:
+        key = rows[["user", "left", "right"]].values
+        return np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+
+    def partners(rows: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers of the two members of each pair, unit by unit.
+
+        A unit is sorted by block. In a one-block unit a row meets all later rows; in a two-block
+        unit a row of the left block meets the rows of the right one.
+        """
+        n = len(rows)
+        ends = np.append(starts[1:], n)
+        unit = np.repeat(np.arange(len(starts)), ends - starts)
+        diagonal = rows["left"].values == rows["right"].values
+        on_right = rows["block"].values == rows["right"].values
+        first_right = ends - np.bincount(unit, on_right, len(starts)).astype(np.int64)
+        begin = np.where(diagonal, np.arange(n) + 1, first_right[unit])
+        count = np.where(diagonal | ~on_right, ends[unit] - begin, 0)
+        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(np.arange(n), count), np.repeat(begin, count) + offset
+
+    def sums(pair: np.ndarray, x: np.ndarray, y: np.ndarray, size: int) -> list[np.ndarray]:
+        return [
+            np.bincount(pair, x * x, size),
+            np.bincount(pair, x * y, size),
+            np.bincount(pair, y * y, size),
+            np.bincount(pair, minlength=size),
+        ]
+
+    def frame(keys: np.ndarray, width: int, items: np.ndarray, values: list[np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"item_x": items[keys // width], "item_y": items[keys % width], **dict(zip(names, values))}
+        )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
+        totals: list[np.ndarray] | None = None
+
+        def flush() -> Iterator[pd.DataFrame]:
+            nonlocal totals
+            if totals is not None:
+                keys = np.flatnonzero(totals[3])
+                yield frame(keys, GRID, np.array(list(known)), [t[keys] for t in totals])
+            known.clear()
+            totals = None
+
+        def add(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+            nonlocal totals
+            a, b = partners(rows, starts)
+            code, items = pd.factorize(rows["item"].values, sort=True)
+            x, y = np.where(code[a] > code[b], (b, a), (a, b))
+            rating = rows["rating"].values
+            if len(items) > GRID:
+                width = len(items)
+                keys, pair = np.unique(code[x] * np.int64(width) + code[y], return_inverse=True)
+                yield frame(keys, width, items, sums(pair, rating[x], rating[y], len(keys)))
+                return
+            if len(known) + sum(item not in known for item in items) > GRID:
+                yield from flush()
+            place = np.array([known.setdefault(item, len(known)) for item in items])[code]
+            found = sums(place[x] * GRID + place[y], rating[x], rating[y], GRID * GRID)
+            totals = found if totals is None else [t + f for t, f in zip(totals, found)]
+
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            starts = unit_starts(rows)
+            # The last unit may go on in the next batch.
+            rest = rows.iloc[starts[-1]:]
+            if starts[-1] > 0:
+                yield from add(rows.iloc[: starts[-1]], starts[:-1])
+        if rest is not None:
+            yield from add(rest, np.zeros(1, dtype=np.int64))
+        yield from flush()
+
+    return run
 
 
 def cosine(pairs: DataFrame, zero: float | None = 0.0) -> DataFrame:

@@ -8,12 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.operators.graph import adjacency, bfs_distances, degrees, degrees_of_separation, edges, level_stats
+from keelson.operators.graph import (
+    adjacency,
+    bfs_distances,
+    degrees,
+    degrees_of_separation,
+    edges,
+    level_stats,
+    symmetric,
+)
 from keelson.operators.ranking import attach_name, bottom_ties, top_k
 from keelson.plans.registry import query
-from keelson.sources import parse_adjacency, table
+from keelson.sources import parse_adjacency, spread, table
 
-START, TARGET = 14, 29
+START, TARGET = 0, 29
 
 PAIRS_SQL = """
     SELECT 2 * o_custkey AS src, 2 * l_partkey + 1 AS dst, l_returnflag AS flag, l_quantity AS quantity
@@ -35,6 +43,7 @@ BFS_SQL = """
 def purchases(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    lines = spread(lines)
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         (2 * F.col("o_custkey")).alias("src"),
         (2 * F.col("l_partkey") + 1).alias("dst"),
@@ -43,15 +52,15 @@ def purchases(spark, folder):
     )
 
 
-def adjacency_lines(spark, folder, where="true"):
+def adjacency_lines(spark, folder):
     rest = F.when(F.col("flag") == "R", F.concat(F.lit("  "), "dst", F.lit(" "), "dst"))
     rest = rest.when(F.col("flag") == "A", F.concat(F.lit(" "), "dst", F.lit(" ")))
     rest = rest.otherwise(F.concat(F.lit(" "), "dst"))
-    return purchases(spark, folder).where(where).select(F.concat("src", rest).alias("value"))
+    return purchases(spark, folder).select(F.concat("src", rest).alias("value"))
 
 
 def purchase_edges(spark, folder, where="true"):
-    return edges(parse_adjacency(adjacency_lines(spark, folder, where)), symmetric=True)
+    return symmetric(purchases(spark, folder).where(where))
 
 
 @query(f"""

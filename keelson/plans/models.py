@@ -10,7 +10,7 @@ from keelson.operators.ranking import attach_name, top_k
 from keelson.operators.splits import hash_cuts, hash_split
 from keelson.plans.registry import query
 from keelson.plans.similarity import part_ratings
-from keelson.sources import table
+from keelson.sources import spread, table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
 WEIGHTS, SEED = (0.7, 0.3), 7
@@ -37,7 +37,7 @@ def als_recommend(spark, folder):
 
 def _split(spark, folder, features):
     lines = table(spark, folder, "lineitem").select(*KEYS, *features, "l_extendedprice")
-    labelled = hash_split(lines, KEYS, WEIGHTS, SEED)
+    labelled = hash_split(spread(lines), KEYS, WEIGHTS, SEED)
     rows = models.assemble(labelled, features, "l_extendedprice")
     return rows.where("part = 0"), rows.where("part = 1")
 

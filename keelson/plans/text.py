@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from keelson.functions import words
 from keelson.operators.keyed import word_counts as count_words
 from keelson.operators.ranking import top_k
 from keelson.plans.registry import query
-from keelson.sources import table
+from keelson.sources import spread, table
 
 COUNT_SQL = """
     SELECT word, count(*) AS n
@@ -18,19 +19,23 @@ UNICODE = r"[^\p{L}\p{N}_]+"
 ASCII = r"\W+"
 
 
+def _texts(spark, folder):
+    return spread(table(spark, folder, "documents").select("text"))
+
+
 @query(COUNT_SQL.format(pattern=UNICODE, where="WHERE word <> ''"))
 def word_counts(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text")
+    return count_words(_texts(spark, folder), "text")
 
 
 @query(COUNT_SQL.format(pattern=ASCII, where="WHERE word <> ''"))
 def word_counts_ascii(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text", unicode=False)
+    return count_words(_texts(spark, folder), "text", unicode=False)
 
 
 @query(COUNT_SQL.format(pattern=ASCII, where=""))
 def word_counts_with_empty(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text", unicode=False, keep_empty=True)
+    return count_words(_texts(spark, folder), "text", unicode=False, keep_empty=True)
 
 
 @query(r"""
@@ -40,7 +45,7 @@ def word_counts_with_empty(spark, folder):
     WHERE word <> '' GROUP BY word
 """)
 def word_counts_stripped(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text", ascii_only=True)
+    return count_words(_texts(spark, folder), "text", ascii_only=True)
 
 
 @query(f"""
@@ -48,7 +53,7 @@ def word_counts_stripped(spark, folder):
     ORDER BY n DESC, word LIMIT 20
 """)
 def top_words(spark, folder):
-    return top_k(count_words(table(spark, folder, "documents"), "text"), ["-n", "word"], 20)
+    return top_k(count_words(_texts(spark, folder), "text"), ["-n", "word"], 20)
 
 
 @query(f"""
@@ -59,7 +64,5 @@ def top_words(spark, folder):
 """)
 def word_counts_by_role(spark, folder):
     turns = table(spark, folder, "conversations")
-    from keelson.functions import words
-
     spoken = turns.select("role", F.explode(words(F.col("text"))).alias("word")).where("word <> ''")
     return spoken.groupBy("role", "word").agg(F.count(F.lit(1)).alias("n"))

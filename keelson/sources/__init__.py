@@ -6,7 +6,7 @@ from keelson.sources.lines import (
     stream_lines,
     write_lines,
 )
-from keelson.sources.tables import stream_table, table
+from keelson.sources.tables import spread, stream_table, table
 
 __all__ = [
     "parse_adjacency",
@@ -14,6 +14,7 @@ __all__ = [
     "read_inferred",
     "read_lines",
     "select_positional",
+    "spread",
     "stream_lines",
     "stream_table",
     "table",

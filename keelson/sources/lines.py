@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions import field
+from keelson.functions import field, single_blanks, tokens_of
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,11 +39,13 @@ def parse_adjacency(lines: DataFrame, value: str = "value", id_type: str = "bigi
     """``id n1 n2 ...`` lines to ``(id, connections array)``; blank runs count as one separator.
 
     A vertex may own several lines, so ``id`` is not unique. Lines whose id does not parse are
-    left out, and so are neighbours that do not parse.
+    left out; a neighbour that does not parse is NULL.
     """
-    tokens = F.split(F.trim(F.col(value)), r"\s+")
-    typed = F.transform(F.slice(tokens, 2, F.size(tokens)), lambda t: t.try_cast(id_type))
+    text = single_blanks(F.col(value))
+    # The id is cut off without the array: the filter on it is evaluated apart from the columns.
+    first = F.substring_index(F.ltrim(text), " ", 1)
+    tokens = tokens_of(F.col(value))
     return lines.select(
-        F.get(tokens, F.lit(0)).try_cast(id_type).alias("id"),
-        F.filter(typed, lambda n: n.isNotNull()).alias("connections"),
+        first.try_cast(id_type).alias("id"),
+        F.slice(tokens, 2, F.size(tokens)).try_cast(f"array<{id_type}>").alias("connections"),
     ).where(F.col("id").isNotNull())

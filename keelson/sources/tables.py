@@ -9,6 +9,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a source with fewer splits than the session has cores over all cores.
+
+    For work that costs much more per row than a shuffle does: a reader cannot split a row group,
+    so a small file would be one task. A source with splits enough is returned as it is. Rows go
+    by the hash of all their columns, so select the wanted ones first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *df.columns)
+
+
 def stream_table(
     spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None
 ) -> DataFrame:
