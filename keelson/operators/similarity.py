@@ -119,9 +119,9 @@ def _pair_summer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
         ]
 
     def frame(keys: np.ndarray, width: int, items: np.ndarray, values: list[np.ndarray]) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"item_x": items[keys // width], "item_y": items[keys % width], **dict(zip(names, values))}
-        )
+        columns = dict(zip(names, values))
+        columns["strength"] = columns["strength"].astype(np.int64)
+        return pd.DataFrame({"item_x": items[keys // width], "item_y": items[keys % width], **columns})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict = {}
@@ -131,7 +131,7 @@ def _pair_summer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
             nonlocal totals
             if totals is not None:
                 keys = np.flatnonzero(totals[3])
-                yield frame(keys, GRID, np.array(list(known)), [t[keys] for t in totals])
+                yield frame(keys, GRID, np.array(list(known)), [t.ravel()[keys] for t in totals])
             known.clear()
             totals = None
 
@@ -141,16 +141,20 @@ def _pair_summer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
             code, items = pd.factorize(rows["item"].values, sort=True)
             x, y = np.where(code[a] > code[b], (b, a), (a, b))
             rating = rows["rating"].values
-            if len(items) > GRID:
-                width = len(items)
-                keys, pair = np.unique(code[x] * np.int64(width) + code[y], return_inverse=True)
+            width = len(items)
+            pair = code[x] * np.int64(width) + code[y]
+            if width > GRID:
+                keys, pair = np.unique(pair, return_inverse=True)
                 yield frame(keys, width, items, sums(pair, rating[x], rating[y], len(keys)))
                 return
             if len(known) + sum(item not in known for item in items) > GRID:
                 yield from flush()
-            place = np.array([known.setdefault(item, len(known)) for item in items])[code]
-            found = sums(place[x] * GRID + place[y], rating[x], rating[y], GRID * GRID)
-            totals = found if totals is None else [t + f for t, f in zip(totals, found)]
+            if totals is None:
+                totals = [np.zeros((GRID, GRID)) for _ in names]
+            place = np.array([known.setdefault(item, len(known)) for item in items])
+            square = np.ix_(place, place)
+            for total, found in zip(totals, sums(pair, rating[x], rating[y], width * width)):
+                total[square] += found.reshape(width, width)
 
         rest = None
         for batch in batches:

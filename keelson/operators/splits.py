@@ -11,6 +11,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import accumulate
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,19 +57,24 @@ def keys_at_ranks(
     if not wanted:
         return n, {}
 
-    tag = F.lit(None).cast("int")
-    hits = F.lit(False)
-    for i, in_slice in wanted.items():
+    def in_slice(i: int) -> Column:
         lo, hi = ([slices[i][f"{side}_{c}"] for c in order] for side in ("lo", "hi"))
+        first = order[0]
         # The leading column alone can prune row groups; the whole key decides.
-        lead = F.col(order[0]).between(F.lit(lo[0]).cast(types[order[0]]), F.lit(hi[0]).cast(types[order[0]]))
-        tag = F.when(lead & row.between(literal(lo), literal(hi)), F.lit(i)).otherwise(tag)
-        hits = hits | ((F.col("slice") == i) & F.col("local").isin([r - before[i] for r in in_slice]))
+        lead = F.col(first).between(F.lit(lo[0]).cast(types[first]), F.lit(hi[0]).cast(types[first]))
+        return lead & row.between(literal(lo), literal(hi))
+
+    numbers = iter(wanted)
+    i = next(numbers)
+    tag = F.when(in_slice(i), F.lit(i))
+    for i in numbers:
+        tag = tag.when(in_slice(i), F.lit(i))
+    places = [f"{i}:{rank - before[i]}" for i, in_i in wanted.items() for rank in in_i]
     found = (
         keys.withColumn("slice", tag)
         .where(F.col("slice").isNotNull())
         .withColumn("local", F.row_number().over(Window.partitionBy("slice").orderBy(*order)))
-        .where(hits)
+        .where(F.concat_ws(":", "slice", "local").isin(places))
         .select("slice", "local", *(F.col(c).cast("string").alias(f"key_{c}") for c in order))
         .collect()
     )
@@ -83,12 +89,9 @@ def k_fold(df: DataFrame, order: Sequence[str], k: int, fold: str = "fold") -> D
     """
     n, last = keys_at_ranks(df, order, lambda n: [i * n // k for i in range(1, k)])
     row = row_struct(order)
-    label = F.lit(1)
-    for i in range(1, k):
-        end = i * n // k
-        # With fewer rows than folds an early fold may be empty: every row is past its end.
-        label = label + ((row > last[end]).cast("int") if end else F.lit(1))
-    return df.withColumn(fold, label.cast("int"))
+    # With fewer rows than folds an early fold may be empty: every row is past its end.
+    past = [(row > last[end]).cast("int") if end else F.lit(1) for end in (i * n // k for i in range(1, k))]
+    return df.withColumn(fold, _total([F.lit(1), *past]).cast("int"))
 
 
 def leave_n_out(
@@ -132,7 +135,14 @@ def hash_split(
     text = F.concat_ws(":", *(F.col(c).cast("string") for c in keys), F.lit(str(seed)))
     digits = F.substring(F.md5(text), 1, 8)
     passed = [(digits >= cut).cast("int") for cut in hash_cuts(weights)]
-    return df.withColumn(part, reduce(lambda a, b: a + b, passed, F.lit(0)).cast("int"))
+    return df.withColumn(part, _total([F.lit(0), *passed]).cast("int"))
+
+
+def _total(columns: list[Column]) -> Column:
+    """Sum of many columns as a balanced tree: a chain would be as deep as it is long."""
+    while len(columns) > 1:
+        columns = [reduce(add, columns[i: i + 2]) for i in range(0, len(columns), 2)]
+    return columns[0]
 
 
 def hash_cuts(weights: Sequence[float]) -> list[str]:

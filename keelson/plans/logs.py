@@ -53,6 +53,7 @@ URL_WINDOWS_SQL = (
     LOGS_SQL + "," + TIME_SQL
     + WINDOW_SQL.format(slide="10 seconds", size="30 seconds", time="t", key="endpoint", rows="timed")
 )
+BOUNDS = ("window_start", "window_end")
 EVENT_WINDOWS = {"key": "event_type", "time_col": "ts", "size": "30 minutes", "slide": "10 minutes"}
 
 
@@ -77,9 +78,12 @@ def _saved_lines(spark, folder):
 
 def _plain_times(windows):
     """Window bounds without a zone, as the tables store their times."""
-    return windows.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    )
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in BOUNDS})
+
+
+def _utc_times(windows):
+    """Window bounds as UTC clock times, whatever the zone of the session."""
+    return windows.withColumns({c: F.convert_timezone(None, F.lit("UTC"), F.col(c)) for c in BOUNDS})
 
 
 @query(LOGS_SQL + "SELECT * FROM logs")
@@ -138,13 +142,13 @@ def _url_windows(lines):
 
 @query(URL_WINDOWS_SQL)
 def url_windows(spark, folder):
-    return _plain_times(_url_windows(log_lines(table(spark, folder, "events"))))
+    return _utc_times(_url_windows(log_lines(table(spark, folder, "events"))))
 
 
 @query(URL_WINDOWS_SQL)
 def stream_url_windows(spark, folder):
     counts = _url_windows(stream_lines(spark, _saved_lines(spark, folder))).orderBy(F.desc("n"))
-    return _plain_times(run_available(counts, name="url_windows"))
+    return _utc_times(run_available(counts, name="url_windows"))
 
 
 @query(LOGS_SQL + "SELECT endpoint, 3 * count(*) AS n FROM logs GROUP BY endpoint")
