@@ -20,9 +20,8 @@ def edges(adjacency: DataFrame) -> DataFrame:
 
 
 def symmetric(edge_table: DataFrame) -> DataFrame:
-    """Distinct edges in both directions, from one pass over the input."""
-    both = F.stack(F.lit(2), "src", "dst", "dst", "src").alias("src", "dst")
-    return edge_table.select(both).distinct()
+    """Each edge and its reverse, from one pass over the input; repeats are kept."""
+    return edge_table.select(F.stack(F.lit(2), "src", "dst", "dst", "src").alias("src", "dst"))
 
 
 def degrees(adjacency: DataFrame, distinct: bool = False) -> DataFrame:
@@ -54,48 +53,58 @@ def adjacency(edge_table: DataFrame, width: int = 4096) -> DataFrame:
     )
 
 
-def bfs_distances(
+def breadth_first(
     edge_table: DataFrame, start: int | str, max_depth: int = 10, target: int | str | None = None
-) -> DataFrame:
-    """``(id, distance)`` of every vertex within ``max_depth`` hops of ``start``.
+) -> tuple[DataFrame, DataFrame]:
+    """The stored edges ``(src, dst, n)`` and ``(id, distance)`` of the vertices near ``start``.
+
+    ``n`` counts the repeats of an edge; loops are left out. The search goes ``max_depth`` hops
+    at most and stops after the level that reaches ``target``, if given.
 
     Each level is one job that writes its new vertices to ``distance=<d>`` in the shared working
     folder: lineage stays one level deep, a lost executor costs at most the running level, and the
-    visited set is that folder read back. The driver sees one flag per level, never a frontier.
-    Small frontiers join by broadcast without moving the edges; for large ones AQE splits the
-    skewed part of the shuffle. Stops after the level that reaches ``target``, if given.
+    visited set is that folder read back. The driver sees a count and a flag per level, never a
+    frontier. Small frontiers join by broadcast without moving the edges; for large ones AQE
+    splits the skewed part of the shuffle.
     """
     spark = edge_table.sparkSession
-    root = work_dir(spark, "bfs")
+    root = work_dir(spark, "search")
     levels = f"{root}/levels"
     id_type = edge_table.schema["src"].dataType
     schema = StructType([StructField("id", id_type), StructField("distance", IntegerType())])
 
-    edge_table.select("src", "dst").where("src <> dst").distinct().write.parquet(f"{root}/edges")
-    graph = spark.read.parquet(f"{root}/edges")
+    counted = edge_table.where("src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    counted.write.parquet(f"{root}/edges")
+    graph = spark.read.schema(counted.schema).parquet(f"{root}/edges")
+    reached = F.max(F.col("id") == F.lit(target)) if target is not None else F.lit(None)
 
     def save(vertices: DataFrame, depth: int) -> dict:
         """Write a level; its size and whether it holds the target come from the same job."""
         seen = Observation()
-        hit = F.max(F.col("id") == F.lit(target)) if target is not None else F.lit(None)
-        counted = vertices.observe(seen, F.count(F.lit(1)).alias("n"), hit.alias("hit"))
-        counted.write.parquet(f"{levels}/distance={depth}")
+        watched = vertices.observe(seen, F.count(F.lit(1)).alias("n"), reached.alias("hit"))
+        watched.write.parquet(f"{levels}/distance={depth}")
         return seen.get
 
     state = save(spark.range(1).select(F.lit(start).cast(id_type).alias("id")), 0)
     depth = 0
     while state["n"] and not state["hit"] and depth < max_depth:
-        reached = spark.read.schema(schema).parquet(levels)
-        frontier = reached.where(F.col("distance") == depth).select(F.col("id").alias("src"))
+        visited = spark.read.schema(schema).parquet(levels)
+        frontier = visited.where(F.col("distance") == depth).select(F.col("id").alias("src"))
         ahead = graph.join(frontier, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
         depth += 1
-        state = save(ahead.join(reached, "id", "left_anti"), depth)
-    return spark.read.schema(schema).parquet(levels)
+        state = save(ahead.join(visited, "id", "left_anti"), depth)
+    return graph, spark.read.schema(schema).parquet(levels)
+
+
+def bfs_distances(edge_table: DataFrame, start: int | str, max_depth: int = 10) -> DataFrame:
+    """``(id, distance)`` of every vertex within ``max_depth`` hops of ``start``."""
+    return breadth_first(edge_table, start, max_depth)[1]
 
 
-def level_stats(edge_table: DataFrame, distances: DataFrame) -> DataFrame:
-    """Per level: vertices in the frontier, and edges that leave it."""
-    out_degree = edge_table.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
+def level_stats(edge_table: DataFrame, start: int | str, max_depth: int = 10) -> DataFrame:
+    """Per level of the search: vertices in the frontier, and distinct edges that leave it."""
+    graph, distances = breadth_first(edge_table, start, max_depth)
+    out_degree = graph.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
     return (
         distances.join(out_degree, "id", "left")
         .groupBy("distance")
@@ -115,14 +124,14 @@ def degrees_of_separation(
     vertices of the last frontier that list the target, ``hit_edges`` their edges to it, repeats
     included.
     """
-    distances = bfs_distances(edge_table, start, max_depth, target)
+    graph, distances = breadth_first(edge_table, start, max_depth, target)
     found = distances.where(F.col("id") == target).agg(F.min("distance").alias("degrees"))
     hits = (
-        edge_table.where(F.col("dst") == target)
-        .groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
+        graph.where(F.col("dst") == target)
+        .select(F.col("src").alias("id"), "n")
         .join(distances, "id")
         .groupBy((F.col("distance") + 1).alias("degrees"))
-        .agg(F.count(F.lit(1)).alias("hits"), F.sum("edges").cast("bigint").alias("hit_edges"))
+        .agg(F.count(F.lit(1)).alias("hits"), F.sum("n").alias("hit_edges"))
     )
     return found.join(hits, "degrees", "left").select(
         F.lit(start).alias("start"),

@@ -60,6 +60,7 @@ def adjacency_lines(spark, folder):
 
 
 def purchase_edges(spark, folder, where="true"):
+    """One edge each way per line item: a part bought twice is two edges."""
     return symmetric(purchases(spark, folder).where(where))
 
 
@@ -143,16 +144,15 @@ def bfs_levels_bulk(spark, folder):
     FROM found LEFT JOIN (SELECT src, count(*) AS n FROM edges GROUP BY src) ON src = id GROUP BY distance
 """)
 def bfs_level_stats(spark, folder):
-    graph = purchase_edges(spark, folder)
-    return level_stats(graph, bfs_distances(graph, START))
+    return level_stats(purchase_edges(spark, folder), START)
 
 
 @query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START) + f"""
     SELECT {START} AS start, {TARGET} AS target, t.distance AS degrees,
            (SELECT count(*) FROM edges e JOIN found f ON f.id = e.src
             WHERE e.dst = {TARGET} AND f.distance = t.distance - 1) AS hits,
-           (SELECT count(*) FROM edges e JOIN found f ON f.id = e.src
-            WHERE e.dst = {TARGET} AND f.distance = t.distance - 1) AS hit_edges
+           (SELECT count(*) FROM pairs p JOIN found f ON f.id = p.src
+            WHERE p.dst = {TARGET} AND f.distance = t.distance - 1) AS hit_edges
     FROM (SELECT min(distance) AS distance FROM found WHERE id = {TARGET}) t
 """)
 def separation(spark, folder):

@@ -62,13 +62,13 @@ def test_separation(spark):
 
 def test_search_stops_at_the_target(spark):
     table = edge_table(spark, [(i, i + 1) for i in range(8)])
-    found = graph.bfs_distances(table, 0, 10, target=2)
+    _, found = graph.breadth_first(table, 0, 10, target=2)
     assert max(r.distance for r in found.collect()) == 2
 
 
 def test_level_stats(spark):
     table = edge_table(spark, [(1, 2), (1, 3), (2, 4), (3, 4)])
-    stats = graph.level_stats(table, graph.bfs_distances(table, 1))
+    stats = graph.level_stats(table, 1)
     assert sorted(tuple(r) for r in stats.collect()) == [(0, 1, 2), (1, 2, 2), (2, 1, 0)]
 
 
