@@ -15,7 +15,8 @@ from keelson.session import work_dir
 
 def edges(adjacency: DataFrame) -> DataFrame:
     """Distinct edges of ``(id, connections)`` rows, directed as listed."""
-    out = adjacency.select(F.col("id").alias("src"), F.explode("connections").alias("dst"))
+    # A plain explode would have the whole array expression evaluated again as a filter on size.
+    out = adjacency.select(F.col("id").alias("src"), F.explode_outer("connections").alias("dst"))
     return out.where(F.col("dst").isNotNull()).distinct()
 
 

@@ -75,8 +75,10 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
         + [StructField(name, DoubleType()) for name in sums]
         + [StructField("strength", LongType())]
     )
+    # A fixed number of partitions: by their bytes AQE would merge them, but work is quadratic.
+    tasks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = (
-        units.repartition("user", "left", "right")
+        units.repartition(tasks, "user", "left", "right")
         .sortWithinPartitions("user", "left", "right", "block")
         .mapInPandas(_pair_summer(), partial)
         .groupBy("item_x", "item_y")

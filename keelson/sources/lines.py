@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from keelson.functions import field, single_blanks, tokens_of
 
 
+# Longest array Spark can hold: "to the end" for slices, without evaluating the array twice.
+MAX_LENGTH = 2**31 - 1
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
@@ -44,8 +48,7 @@ def parse_adjacency(lines: DataFrame, value: str = "value", id_type: str = "bigi
     text = single_blanks(F.col(value))
     # The id is cut off without the array: the filter on it is evaluated apart from the columns.
     first = F.substring_index(F.ltrim(text), " ", 1)
-    tokens = tokens_of(F.col(value))
+    rest = F.slice(tokens_of(F.col(value)), 2, MAX_LENGTH)
     return lines.select(
-        first.try_cast(id_type).alias("id"),
-        F.slice(tokens, 2, F.size(tokens)).try_cast(f"array<{id_type}>").alias("connections"),
+        first.try_cast(id_type).alias("id"), rest.try_cast(f"array<{id_type}>").alias("connections")
     ).where(F.col("id").isNotNull())

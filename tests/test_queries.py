@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from keelson.sources import table
+from keelson.sources.tables import SCHEMAS
 from tests.compare import connect, difference, duck_rows, spark_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -45,3 +47,9 @@ def test_query_in_another_time_zone(spark, duck):
             assert difference(got, duck_rows(duck, entry.oracle_sql()[name])) is None, name
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("name", SCHEMAS)
+def test_declared_schemas_are_those_of_the_files(spark, name):
+    stored = spark.read.parquet(f"{FOLDER}/{name}.parquet").dtypes
+    assert table(spark, FOLDER, name).dtypes == stored
