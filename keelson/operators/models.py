@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -17,6 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` stored for the length of a fit, which reads it several times."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def als_model(
     ratings: DataFrame, rank: int = 10, max_iter: int = 5, reg: float = 0.01, seed: int = 42, blocks: int = 10
 ) -> ALSModel:
@@ -25,7 +37,7 @@ def als_model(
     ``blocks`` sets the user and item blocks, hence the tasks per half-iteration: raise it with
     the cluster.
     """
-    return ALS(
+    als = ALS(
         rank=rank,
         maxIter=max_iter,
         regParam=reg,
@@ -35,7 +47,9 @@ def als_model(
         userCol="user",
         itemCol="item",
         ratingCol="rating",
-    ).fit(ratings)
+    )
+    with kept(ratings) as rows:
+        return als.fit(rows)
 
 
 def als_recommend(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:
@@ -57,13 +71,15 @@ def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 
 def tree_regression(train: DataFrame, **params) -> DecisionTreeRegressionModel:
+    # Not kept: the fit stores its own binned copy of the rows.
     return DecisionTreeRegressor(**params).fit(train)
 
 
 def linear_regression(
     train: DataFrame, reg: float = 0.3, elastic_net: float = 0.8, max_iter: int = 10
 ) -> LinearRegressionModel:
-    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net).fit(train)
+    with kept(train) as rows:
+        return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net).fit(rows)
 
 
 def prediction_table(model, rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
