@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.llm import contamination, lines, simhash
+from keelson.llm import contamination, lines, packing, secret_scan, simhash
 from keelson.llm.common import key_id
 from keelson.sources import table
 
@@ -105,3 +105,24 @@ def op10_contamination(spark, folder):
     items = table(spark, folder, "benchmark")
     found = contamination.contained(documents(spark, folder), items, threshold=0.8, length=5)
     return found.select(key_id().alias("doc_id"), "item_id", "item_shingles", "found", "containment")
+
+
+@query()
+def op4_secret_scan(spark, folder):
+    found = secret_scan.scan(documents(spark, folder))
+    base = [rule.kind for rule in secret_scan.BASE]
+    said = lambda spans: F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+    )
+    of = lambda *kinds: F.filter("found", lambda x: x["kind"].isin(*kinds))
+    return found.select(
+        "row.doc_id",
+        *(F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base),
+        F.sha2(said(of(*base)).cast("binary"), 256).alias("base_sha256"),
+        said(F.col("found")).alias("spans"),
+    )
+
+
+@query()
+def op5_packing(spark, folder):
+    return packing.pack(documents(spark, folder), capacity=1024)
