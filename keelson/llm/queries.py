@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.llm import contamination, lines, packing, secret_scan, simhash
+from keelson.llm import contamination, lines, packing, secret_scan, simhash, suffix_tree
 from keelson.llm.common import key_id
 from keelson.sources import table
 
@@ -126,3 +126,8 @@ def op4_secret_scan(spark, folder):
 @query()
 def op5_packing(spark, folder):
     return packing.pack(documents(spark, folder), capacity=1024)
+
+
+@query()
+def op1_suffix_tree(spark, folder):
+    return suffix_tree.score(documents(spark, folder), suffix_tree.held_out(7, 2))
