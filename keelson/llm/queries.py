@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.llm import contamination, lines, packing, secret_scan, simhash, suffix_tree
+from keelson.llm import contamination, lines, packing, secret_scan, simhash, substrings, suffix_tree
 from keelson.llm.common import key_id
 from keelson.sources import table
 
@@ -131,3 +131,8 @@ def op5_packing(spark, folder):
 @query()
 def op1_suffix_tree(spark, folder):
     return suffix_tree.score(documents(spark, folder), suffix_tree.held_out(7, 2))
+
+
+@query()
+def op6_suffix_array(spark, folder):
+    return substrings.cut_repeats(documents(spark, folder), size=200).drop("kept")
