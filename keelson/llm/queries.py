@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.llm import contamination, lines, packing, secret_scan, simhash, substrings, suffix_tree
-from keelson.llm.common import key_id
+from keelson.llm import (
+    contamination,
+    language,
+    lines,
+    packing,
+    secret_scan,
+    simhash,
+    substrings,
+    suffix_tree,
+    toxicity,
+)
+from keelson.llm.common import held_out, key_id
 from keelson.sources import table
 
 _queries: dict = {}
@@ -130,9 +140,19 @@ def op5_packing(spark, folder):
 
 @query()
 def op1_suffix_tree(spark, folder):
-    return suffix_tree.score(documents(spark, folder), suffix_tree.held_out(7, 2))
+    return suffix_tree.score(documents(spark, folder), held_out(7, 2))
 
 
 @query()
 def op6_suffix_array(spark, folder):
     return substrings.cut_repeats(documents(spark, folder), size=200).drop("kept")
+
+
+@query()
+def op2_language(spark, folder):
+    return language.identify(table(spark, folder, "documents"), held_out(4, 2))
+
+
+@query()
+def op3_toxicity(spark, folder):
+    return toxicity.judge(documents(spark, folder), table(spark, folder, "labels"), held_out(5, 0))
