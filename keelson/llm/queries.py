@@ -8,6 +8,7 @@ from keelson.llm import (
     contamination,
     language,
     lines,
+    neighbours,
     packing,
     secret_scan,
     simhash,
@@ -156,3 +157,8 @@ def op2_language(spark, folder):
 @query()
 def op3_toxicity(spark, folder):
     return toxicity.judge(documents(spark, folder), table(spark, folder, "labels"), held_out(5, 0))
+
+
+@query()
+def op9_neighbours(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), k=20, every=20)
