@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import contamination, lines, simhash
-from keelson.llm.common import stored
+from keelson.llm import contamination, lines, packing, simhash, toxicity
+from keelson.llm.common import held_out, keyed, stored
 from keelson.sources import table
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go. It learns from the labels of four ids in five."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    judged = toxicity.with_score(keyed(docs), model, "row.text")
+    return judged.where("score < 0.5").select("row.*")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of lines are cut out of all but their first place; ``n_chars`` follows."""
-    found = lines.dedup_lines(docs).select("row.*")
-    return found.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    found = lines.dedup_lines(docs)
+    size = F.coalesce(F.length("row.text"), F.lit(0)).cast("bigint")
+    same = F.col("n_removed") == 0
+    return found.withColumn(
+        "row", F.when(same, F.col("row")).otherwise(F.col("row").withField("n_chars", size))
+    ).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +37,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return contamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left becomes pieces of sequences of at most 1024 tokens."""
+    return packing.pack(docs, capacity=1024)
+
+
 STAGES = [
+    ("toxicity", clean),
     ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("packing", windows),
 ]
 
 #: SQL cannot say the learned first stage or the tokens of the last; tests compare with brute force.
