@@ -265,16 +265,22 @@ def border_windows(contexts: DataFrame, size: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
     """``_null, _id, _hash, start, windows``: stretches of windows whose bytes also start elsewhere."""
     rows = keyed(docs.select("doc_id", "text")).select(*KEY, "row.text")
-    found = stored(runs(rows, size).withColumn("place", F.monotonically_increasing_id()), "runs")
-    contexts = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("place").alias("one"))
-    anchors = contexts.groupBy("anchor").agg(
-        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.min("n").alias("rarest")
+    found = runs(rows, size)
+    # Runs are found twice, for the counts and to be kept: that costs less than to store all of them.
+    anchors = found.groupBy("anchor").agg(
+        F.count("*").alias("total"), F.min("context").alias("low"), F.max("context").alias("high")
     )
-    known = contexts.join(anchors.where("total > 1"), "anchor").withColumn(
-        "border", F.expr("kinds > 1 AND rarest = 1")
-    ).where("n > 1 OR border").select("anchor", "context", "n", "one", "border", "kinds")
-    met = stored(found.join(known, ["anchor", "context"]).where("n > 1 OR place = one"), "repeated-runs")
-    whole = met.where("n > 1").select(*KEY, "start", "windows")
+    again = anchors.where("total > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+    near = stored(found.join(again, "anchor").withColumn("place", F.monotonically_increasing_id()), "repeated-anchors")
+    alike = near.where("NOT mixed").select(*KEY, "start", "windows")
+    near = near.where("mixed").drop("mixed")
+    contexts = near.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("place").alias("one"))
+    kinds = contexts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest"))
+    known = contexts.join(kinds, "anchor").select(
+        "anchor", "context", "n", "one", (F.col("rarest") == 1).alias("border"), "kinds"
+    )
+    met = stored(near.join(known, ["anchor", "context"]).where("n > 1 OR place = one"), "mixed-anchors")
+    whole = alike.union(met.where("n > 1").select(*KEY, "start", "windows"))
 
     # One context of each kind around a border's anchor, brought with its bytes.
     lots = F.ceil(F.col("kinds") / TOGETHER)
