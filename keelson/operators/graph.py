@@ -35,32 +35,24 @@ def degrees(adjacency: DataFrame, distinct: bool = False) -> DataFrame:
 
 
 def adjacency(edge_table: DataFrame, width: int = 4096) -> DataFrame:
-    """``(id, chunk, connections)`` with the sorted distinct neighbours of each vertex.
+    """``(id, chunk, connections)`` with the sorted distinct neighbours of each vertex; integer ids.
 
-    A vertex takes one row per ``width`` neighbours or so, as a ragged adjacency file does, so no
-    row grows with the hottest vertex.
+    Chunk ``c`` of a vertex holds its neighbours from ``c * width`` up to ``(c + 1) * width``, so a
+    row has ``width`` of them at most however many the hottest vertex has.
     """
-    pairs = edge_table.select("src", "dst").distinct()
-    wide = (
-        pairs.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-        .where(F.col("degree") > width)
-        .select("src", F.ceil(F.col("degree") / width).alias("chunks"))
-    )
-    chunk = F.pmod(F.xxhash64("dst"), F.coalesce("chunks", F.lit(1).cast("bigint")))
-    return (
-        pairs.join(wide, "src", "left")
-        .groupBy(F.col("src").alias("id"), chunk.alias("chunk"))
-        .agg(F.sort_array(F.collect_set("dst")).alias("connections"))
+    chunk = F.floor(F.col("dst") / width).alias("chunk")
+    return edge_table.groupBy(F.col("src").alias("id"), chunk).agg(
+        F.sort_array(F.collect_set("dst")).alias("connections")
     )
 
 
 def breadth_first(
-    edge_table: DataFrame, start: int | str, max_depth: int = 10, target: int | str | None = None
+    edge_table: DataFrame, start: int | str, max_depth: int | None = None, target: int | str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The stored edges ``(src, dst, n)`` and ``(id, distance)`` of the vertices near ``start``.
+    """The stored edges ``(src, dst, n)`` and ``(id, distance)`` of the vertices reached from ``start``.
 
-    ``n`` counts the repeats of an edge; loops are left out. The search goes ``max_depth`` hops
-    at most and stops after the level that reaches ``target``, if given.
+    ``n`` counts the repeats of an edge; loops are left out. The search goes on until no new vertex
+    is found, or for ``max_depth`` hops if given, or after the level that reaches ``target``, if given.
 
     Each level is one job that writes its new vertices to ``distance=<d>`` in the shared working
     folder: lineage stays one level deep, a lost executor costs at most the running level, and the
@@ -88,7 +80,7 @@ def breadth_first(
 
     state = save(spark.range(1).select(F.lit(start).cast(id_type).alias("id")), 0)
     depth = 0
-    while state["n"] and not state["hit"] and depth < max_depth:
+    while state["n"] and not state["hit"] and (max_depth is None or depth < max_depth):
         visited = spark.read.schema(schema).parquet(levels)
         frontier = visited.where(F.col("distance") == depth).select(F.col("id").alias("src"))
         ahead = graph.join(frontier, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
@@ -97,12 +89,12 @@ def breadth_first(
     return graph, spark.read.schema(schema).parquet(levels)
 
 
-def bfs_distances(edge_table: DataFrame, start: int | str, max_depth: int = 10) -> DataFrame:
-    """``(id, distance)`` of every vertex within ``max_depth`` hops of ``start``."""
+def bfs_distances(edge_table: DataFrame, start: int | str, max_depth: int | None = None) -> DataFrame:
+    """``(id, distance)`` of every vertex that ``start`` reaches, in ``max_depth`` hops if given."""
     return breadth_first(edge_table, start, max_depth)[1]
 
 
-def level_stats(edge_table: DataFrame, start: int | str, max_depth: int = 10) -> DataFrame:
+def level_stats(edge_table: DataFrame, start: int | str, max_depth: int | None = None) -> DataFrame:
     """Per level of the search: vertices in the frontier, and distinct edges that leave it."""
     graph, distances = breadth_first(edge_table, start, max_depth)
     out_degree = graph.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
@@ -117,16 +109,20 @@ def level_stats(edge_table: DataFrame, start: int | str, max_depth: int = 10) ->
 
 
 def degrees_of_separation(
-    edge_table: DataFrame, start: int | str, target: int | str, max_depth: int = 10
+    edge_table: DataFrame, start: int | str, target: int | str, max_depth: int | None = 10
 ) -> DataFrame:
-    """One row ``(start, target, degrees, hits, hit_edges)``.
+    """One row ``(start, target, degrees, hits, hit_edges, reachable)``.
 
-    ``degrees`` is NULL when the target is not within ``max_depth`` hops. ``hits`` counts the
-    vertices of the last frontier that list the target, ``hit_edges`` their edges to it, repeats
-    included.
+    ``degrees`` is NULL when the target is not found. ``hits`` counts the vertices of the last
+    frontier that list the target, ``hit_edges`` their edges to it, repeats included. ``reachable``
+    is false if the search ended by itself without the target, NULL if ``max_depth`` ended it.
     """
     graph, distances = breadth_first(edge_table, start, max_depth, target)
-    found = distances.where(F.col("id") == target).agg(F.min("distance").alias("degrees"))
+    found = distances.agg(
+        F.min(F.when(F.col("id") == target, F.col("distance"))).alias("degrees"), F.max("distance").alias("deepest")
+    )
+    cut = F.lit(False) if max_depth is None else F.col("deepest") >= max_depth
+    reachable = F.when(F.col("degrees").isNotNull(), True).when(~cut, False)
     hits = (
         graph.where(F.col("dst") == target)
         .select(F.col("src").alias("id"), "n")
@@ -140,4 +136,5 @@ def degrees_of_separation(
         "degrees",
         F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"),
         F.coalesce("hit_edges", F.lit(0)).cast("bigint").alias("hit_edges"),
+        reachable.alias("reachable"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import accumulate
 
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -15,7 +16,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     LinearRegressionModel,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,14 +30,39 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def numbered(ids: DataFrame, column: str, parts: int | None = None) -> DataFrame:
+    """``(column, number)``: the different ids with dense ints from 0, for models that take ints only.
+
+    Ids are dealt by a hash to so many parts and numbered in each; the parts' counts give the
+    offsets, and are all that the driver sees.
+    """
+    parts = parts or int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ids.select(column).where(F.col(column).isNotNull()).distinct()
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(column), F.lit(parts)).cast("int"))
+    counts = {r["_part"]: r["n"] for r in dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
+    if total > 2**31 - 1:
+        raise ValueError(f"{total} different ids do not fit an int")
+    before = dict(zip(sorted(counts), accumulate([0, *(counts[p] for p in sorted(counts))])))
+    offset = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("_part")) if before else F.lit(0)
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    return dealt.select(column, (offset + place - 1).cast("int").alias("number"))
+
+
 def als_model(
-    ratings: DataFrame, rank: int = 10, max_iter: int = 5, reg: float = 0.01, seed: int = 42, blocks: int = 10
+    ratings: DataFrame,
+    rank: int = 10,
+    max_iter: int = 5,
+    reg: float = 0.01,
+    seed: int = 42,
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Explicit-feedback ALS on ``(user, item, rating)``; ids must fit an int.
+    """Explicit-feedback ALS on ``(user, item, rating)``; ids must fit an int: see ``numbered``.
 
-    ``blocks`` sets the user and item blocks, hence the tasks per half-iteration: raise it with
-    the cluster.
+    ``blocks`` sets the user and item blocks, hence the tasks per half-iteration; by default as many
+    as ``spark.sql.shuffle.partitions``.
     """
+    blocks = blocks or int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     als = ALS(
         rank=rank,
         maxIter=max_iter,

@@ -46,13 +46,14 @@ def top_k_per_group(
     return df.withColumn(rank, number.over(whole)).where(F.col(rank) <= k)
 
 
-def attach_name(df: DataFrame, names: DataFrame, key: str, few: bool = False) -> DataFrame:
+def attach_name(df: DataFrame, names: DataFrame, key: str, few: int | None = None) -> DataFrame:
     """Left join of ``names`` on ``key``; a row without a name keeps NULL.
 
     The join strategy is left to the optimizer, which broadcasts ``names`` only below its size
-    threshold. ``few`` says that ``df`` is a short report (a top-k): its keys then filter the
-    name table while it is scanned, so that a large one is not shuffled.
+    threshold. ``few`` makes ``df`` a short report of so many rows at most: its keys then filter
+    the name table while it is scanned, so that a large one is not shuffled.
     """
-    if few:
+    if few is not None:
+        df = df.limit(few)
         names = names.join(F.broadcast(df.select(key)), key, "left_semi")
     return df.join(names, key, "left")

@@ -6,13 +6,8 @@ Two items are compared over the users who rated both:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from keelson.functions import other_side, safe_ratio
 from keelson.operators.ranking import top_k
@@ -21,10 +16,6 @@ from keelson.operators.ranking import top_k
 # unit's memory, not the result: users with more items are split into several units.
 UNIT_ITEMS = 256
 
-# A task keeps the sums of up to this many items in memory as a square, and passes them on only
-# when other items come. Batches with more items pass their sums on at once.
-GRID = 1024
-
 
 def unique_ratings(ratings: DataFrame) -> DataFrame:
     """One row per (user, item), the highest rating, so that the sums count each user once."""
@@ -35,30 +26,30 @@ def unique_ratings(ratings: DataFrame) -> DataFrame:
 def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
     """``(item_x, item_y, sum_xx, sum_xy, sum_yy, strength)`` for co-rated items, ``item_x < item_y``.
 
-    No row per user and pair ever leaves a task. Work is cut into units of bounded size; a task
-    multiplies out its units and passes on sums per item pair, which are summed again after the
-    shuffle. The usual user is one unit. A user with more than
-    ``UNIT_ITEMS`` items has them hashed to blocks and one unit for every two blocks, so the
-    pairs of the hottest user are spread over the cluster. ``ratings`` are unique per (user, item).
+    A self-join cut into units of bounded size, then one aggregate that combines on the map side.
+    The usual user is one unit. A user with more than ``UNIT_ITEMS`` items has them hashed to blocks
+    and one unit for every two blocks, so the pairs of the hottest user are spread over the cluster.
+    ``ratings`` are unique per (user, item). The full table is quadratic in a user's items by
+    nature; with ``min_strength`` items with too few raters are dropped first, which is exact.
     """
     if min_strength > 1:
-        # An item with too few raters has no pair with enough of them.
         frequent = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("raters"))
         frequent = frequent.where(F.col("raters") >= min_strength).select("item")
         ratings = ratings.join(frequent, "item", "left_semi")
 
     # Counting the rating, not the rows, keeps this branch's columns equal to the other's, so that
     # both read one shuffle of the ratings.
-    wide = (
+    blocks = (
         ratings.groupBy("user").agg(F.count("rating").alias("items"))
-        .where(F.col("items") > UNIT_ITEMS)
         .select("user", F.ceil(F.col("items") / UNIT_ITEMS).alias("blocks"))
     )
-    split = ratings.join(wide, "user", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
     block = F.pmod(F.xxhash64("item"), F.col("blocks"))
+    # A fixed number of partitions: by their bytes AQE would merge them, but work is quadratic.
+    tasks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = (
-        split.select("user", "item", "rating", "blocks", block.alias("block"))
-        .withColumn("peer", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        ratings.join(blocks, "user")
+        .select("user", "item", "rating", block.alias("block"), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1).alias("peers"))
+        .withColumn("peer", F.explode("peers"))
         .select(
             "user",
             F.least("block", "peer").alias("left"),
@@ -67,112 +58,26 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
             "item",
             "rating",
         )
+        .repartition(tasks, "user", "left", "right")
     )
-    item_type = ratings.schema["item"].dataType
-    sums = ["sum_xx", "sum_xy", "sum_yy"]
-    partial = StructType(
-        [StructField("item_x", item_type), StructField("item_y", item_type)]
-        + [StructField(name, DoubleType()) for name in sums]
-        + [StructField("strength", LongType())]
-    )
-    # A fixed number of partitions: by their bytes AQE would merge them, but work is quadratic.
-    tasks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x, y = units.alias("x"), units.alias("y")
+    same_unit = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("user", "left", "right")]
+    # A unit of two blocks pairs one with the other; the pairs inside a block have their own unit.
+    met = (F.col("x.left") == F.col("x.right")) | (F.col("x.block") != F.col("y.block"))
+    a, b = F.col("x.rating"), F.col("y.rating")
     pairs = (
-        units.repartition(tasks, "user", "left", "right")
-        .sortWithinPartitions("user", "left", "right", "block")
-        .mapInPandas(_pair_summer(), partial)
-        .groupBy("item_x", "item_y")
-        .agg(*(F.sum(c).alias(c) for c in sums), F.sum("strength").alias("strength"))
+        x.join(y, [*same_unit, F.col("x.item") < F.col("y.item"), met])
+        .groupBy(F.col("x.item").alias("item_x"), F.col("y.item").alias("item_y"))
+        .agg(
+            F.sum(a * a).alias("sum_xx"),
+            F.sum(a * b).alias("sum_xy"),
+            F.sum(b * b).alias("sum_yy"),
+            F.count(F.lit(1)).alias("strength"),
+        )
     )
     return pairs.where(F.col("strength") >= min_strength) if min_strength > 1 else pairs
 
 
-def _pair_summer() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The task-side function: nested, so that it ships by value and workers need no package."""
-    names = ["sum_xx", "sum_xy", "sum_yy", "strength"]
-
-    def unit_starts(rows: pd.DataFrame) -> np.ndarray:
-        key = rows[["user", "left", "right"]].values
-        return np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-
-    def partners(rows: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers of the two members of each pair, unit by unit.
-
-        A unit is sorted by block. In a one-block unit a row meets all later rows; in a two-block
-        unit a row of the left block meets the rows of the right one.
-        """
-        n = len(rows)
-        ends = np.append(starts[1:], n)
-        unit = np.repeat(np.arange(len(starts)), ends - starts)
-        diagonal = rows["left"].values == rows["right"].values
-        on_right = rows["block"].values == rows["right"].values
-        first_right = ends - np.bincount(unit, on_right, len(starts)).astype(np.int64)
-        begin = np.where(diagonal, np.arange(n) + 1, first_right[unit])
-        count = np.where(diagonal | ~on_right, ends[unit] - begin, 0)
-        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        return np.repeat(np.arange(n), count), np.repeat(begin, count) + offset
-
-    def sums(pair: np.ndarray, x: np.ndarray, y: np.ndarray, size: int) -> list[np.ndarray]:
-        return [
-            np.bincount(pair, x * x, size),
-            np.bincount(pair, x * y, size),
-            np.bincount(pair, y * y, size),
-            np.bincount(pair, minlength=size),
-        ]
-
-    def frame(keys: np.ndarray, width: int, items: np.ndarray, values: list[np.ndarray]) -> pd.DataFrame:
-        columns = dict(zip(names, values))
-        columns["strength"] = columns["strength"].astype(np.int64)
-        return pd.DataFrame({"item_x": items[keys // width], "item_y": items[keys % width], **columns})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict = {}
-        totals: list[np.ndarray] | None = None
-
-        def flush() -> Iterator[pd.DataFrame]:
-            nonlocal totals
-            if totals is not None:
-                keys = np.flatnonzero(totals[3])
-                yield frame(keys, GRID, np.array(list(known)), [t.ravel()[keys] for t in totals])
-            known.clear()
-            totals = None
-
-        def add(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-            nonlocal totals
-            a, b = partners(rows, starts)
-            code, items = pd.factorize(rows["item"].values, sort=True)
-            x, y = np.where(code[a] > code[b], (b, a), (a, b))
-            rating = rows["rating"].values
-            width = len(items)
-            pair = code[x] * np.int64(width) + code[y]
-            if width > GRID:
-                keys, pair = np.unique(pair, return_inverse=True)
-                yield frame(keys, width, items, sums(pair, rating[x], rating[y], len(keys)))
-                return
-            if len(known) + sum(item not in known for item in items) > GRID:
-                yield from flush()
-            if totals is None:
-                totals = [np.zeros((GRID, GRID)) for _ in names]
-            place = np.array([known.setdefault(item, len(known)) for item in items])
-            square = np.ix_(place, place)
-            for total, found in zip(totals, sums(pair, rating[x], rating[y], width * width)):
-                total[square] += found.reshape(width, width)
-
-        rest = None
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            starts = unit_starts(rows)
-            # The last unit may go on in the next batch.
-            rest = rows.iloc[starts[-1]:]
-            if starts[-1] > 0:
-                yield from add(rows.iloc[: starts[-1]], starts[:-1])
-        if rest is not None:
-            yield from add(rest, np.zeros(1, dtype=np.int64))
-        yield from flush()
-
-    return run
-
-
 def cosine(pairs: DataFrame, zero: float | None = 0.0) -> DataFrame:
     """``(item_x, item_y, score, strength)``; ``zero`` is the score where a norm is 0."""
     norm = F.sqrt("sum_xx") * F.sqrt("sum_yy")

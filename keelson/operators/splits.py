@@ -21,64 +21,90 @@ from keelson.operators.ranking import top_k_per_group
 
 
 def keys_at_ranks(
-    df: DataFrame, order: Sequence[str], ranks: Callable[[int], Sequence[int]]
+    df: DataFrame, order: Sequence[str], ranks: Callable[[int], Sequence[int]], most: int = 1_000_000
 ) -> tuple[int, dict[int, Column]]:
     """The number of rows ``n``, and the order key at each 1-based rank of ``ranks(n)``.
 
     Keys are literal structs, comparable with ``row_struct(order)``; ranks outside ``1..n`` are
-    left out. One range shuffle of the order columns gives the row count and key range of every
-    slice (one driver row per slice). Only the slices that hold a wanted rank are then sorted.
+    left out. A range shuffle of the order columns gives the row count and key range of every
+    slice (one driver row per slice). Slices that hold a wanted rank and more than ``most`` rows
+    are cut by range again, so that no task sorts more than that; then those left are sorted.
     """
     keys = df.select(*order)
     row = row_struct(order)
     types = {c: keys.schema[c].dataType for c in order}
+    # A clock time in a zone is ambiguous in the hour that a clock change repeats: micros are not.
+    pieces = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    zoned = {c for c in order if types[c].typeName() == "timestamp"}
 
-    def texts(struct: str) -> list[Column]:
-        return [F.col(f"{struct}.{c}").cast("string").alias(f"{struct}_{c}") for c in order]
+    def text(c: str, at: str = "") -> Column:
+        value = F.col(f"{at}{c}")
+        return (F.unix_micros(value) if c in zoned else value).cast("string")
+
+    def value(c: str, said: str) -> Column:
+        return F.timestamp_micros(F.lit(int(said))) if c in zoned else F.lit(said).cast(types[c])
 
     def literal(values: Sequence[str]) -> Column:
-        return F.struct(*(F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, values)))
-
-    slices = (
-        keys.repartitionByRange(*order)
-        .groupBy(F.spark_partition_id().alias("slice"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("lo"), F.max(row).alias("hi"))
-        .orderBy("lo")
-        .select("n", *texts("lo"), *texts("hi"))
-        .collect()
-    )
-    ends = list(accumulate(s["n"] for s in slices))
-    n = ends[-1] if ends else 0
-    before = [end - s["n"] for end, s in zip(ends, slices)]
-    wanted: dict[int, list[int]] = {}
-    for rank in ranks(n):
-        if 1 <= rank <= n:
-            wanted.setdefault(bisect_left(ends, rank), []).append(rank)
-    if not wanted:
+        return F.struct(*(value(c, v).alias(c) for c, v in zip(order, values)))
+
+    def measured(rows: DataFrame, *parts: str) -> list:
+        return (
+            # With a number given, AQE does not merge the slices again.
+            rows.repartitionByRange(pieces, *parts, *order)
+            .groupBy(F.spark_partition_id().alias("slice"), *parts)
+            .agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("lo"), F.max(row).alias("hi"))
+            .orderBy("lo")
+            .select("n", *(text(c, f"{s}.").alias(f"{s}_{c}") for s in ("lo", "hi") for c in order))
+            .collect()
+        )
+
+    def inside(slices: list) -> Column:
+        """The number of the slice that holds a row, of some that do not overlap."""
+        tag = F.when(F.lit(False), F.lit(0))
+        for i, s in enumerate(slices):
+            first, lo, hi = order[0], *([s[f"{side}_{c}"] for c in order] for side in ("lo", "hi"))
+            # The leading column alone can prune row groups; the whole key decides.
+            lead = F.col(first).between(value(first, lo[0]), value(first, hi[0]))
+            tag = tag.when(lead & row.between(literal(lo), literal(hi)), F.lit(i))
+        return tag
+
+    def holding(slices: list, before: int, wanted: Sequence[int]) -> list:
+        """``(slice, rows before it, its ranks)`` of the slices that hold a wanted rank."""
+        ends = [before + end for end in accumulate(s["n"] for s in slices)]
+        held: dict[int, list[int]] = {}
+        for rank in wanted:
+            held.setdefault(bisect_left(ends, rank), []).append(rank)
+        return [(slices[i], ends[i] - slices[i]["n"], found) for i, found in held.items()]
+
+    slices = measured(keys)
+    n = sum(s["n"] for s in slices)
+    todo = holding(slices, 0, sorted({r for r in ranks(n) if 1 <= r <= n}))
+    if not todo:
         return n, {}
-
-    def in_slice(i: int) -> Column:
-        lo, hi = ([slices[i][f"{side}_{c}"] for c in order] for side in ("lo", "hi"))
-        first = order[0]
-        # The leading column alone can prune row groups; the whole key decides.
-        lead = F.col(first).between(F.lit(lo[0]).cast(types[first]), F.lit(hi[0]).cast(types[first]))
-        return lead & row.between(literal(lo), literal(hi))
-
-    numbers = iter(wanted)
-    i = next(numbers)
-    tag = F.when(in_slice(i), F.lit(i))
-    for i in numbers:
-        tag = tag.when(in_slice(i), F.lit(i))
-    places = [f"{i}:{rank - before[i]}" for i, in_i in wanted.items() for rank in in_i]
+    whole: set[int] = set()  # slices that a cut left whole, by the rows before them
+    while wide := [t for t in todo if t[0]["n"] > most and t[1] not in whole]:
+        parts = measured(keys.withColumn("slice", inside([t[0] for t in wide])).where("slice IS NOT NULL"), "slice")
+        todo = [t for t in todo if t not in wide]
+        at = iter(parts)  # in order of their keys, as ``wide`` is
+        for s, before, wanted in wide:
+            own, rows = [], 0
+            while rows < s["n"]:
+                own.append(next(at))
+                rows += own[-1]["n"]
+            if len(own) == 1:
+                whole.add(before)
+            todo += holding(own, before, wanted)
+        todo.sort(key=lambda t: t[1])
+    places = [f"{i}:{rank - before}" for i, (_, before, wanted) in enumerate(todo) for rank in wanted]
     found = (
-        keys.withColumn("slice", tag)
+        keys.withColumn("slice", inside([t[0] for t in todo]))
         .where(F.col("slice").isNotNull())
         .withColumn("local", F.row_number().over(Window.partitionBy("slice").orderBy(*order)))
         .where(F.concat_ws(":", "slice", "local").isin(places))
-        .select("slice", "local", *(F.col(c).cast("string").alias(f"key_{c}") for c in order))
+        .select("slice", "local", *(text(c).alias(f"key_{c}") for c in order))
         .collect()
     )
-    return n, {before[f["slice"]] + f["local"]: literal([f[f"key_{c}"] for c in order]) for f in found}
+    return n, {todo[f["slice"]][1] + f["local"]: literal([f[f"key_{c}"] for c in order]) for f in found}
 
 
 def k_fold(df: DataFrame, order: Sequence[str], k: int, fold: str = "fold") -> DataFrame:
@@ -146,6 +172,18 @@ def _total(columns: list[Column]) -> Column:
 
 
 def hash_cuts(weights: Sequence[float]) -> list[str]:
-    """Ends of all parts but the last, as 8 hex digits."""
+    """Ends of all parts but the last, as 8 hex digits. A part of weight 0 stays empty."""
+    if not weights or min(weights) < 0 or sum(weights) <= 0:
+        raise ValueError(f"weights must not be negative, and not all 0: {list(weights)}")
     shares = list(accumulate(weights))
-    return [f"{round(s / shares[-1] * 2**32):08x}" for s in shares[:-1]]
+    return [_hex(round(s / shares[-1] * 2**32)) for s in shares[:-1]]
+
+
+def _hex(cut: int) -> str:
+    """8 hex digits, and for the end of the range a text that sorts after all of them."""
+    return f"{cut:08x}" if cut < 2**32 else "g"
+
+
+def random_split(df: DataFrame, weights: Sequence[float], seed: int = 0) -> list[DataFrame]:
+    """Spark's seeded split. The parts hold for one layout of the rows; ``hash_split`` for any."""
+    return df.randomSplit(list(weights), seed)

@@ -19,9 +19,10 @@ from keelson.operators.graph import (
 )
 from keelson.operators.ranking import attach_name, bottom_ties, top_k
 from keelson.plans.registry import query
-from keelson.sources import parse_adjacency, spread, table
+from keelson.sources import parse_adjacency, table
 
-START, TARGET = 0, 29
+START, TARGET, HOPS = 0, 29, 10
+WIDTH = 512
 
 PAIRS_SQL = """
     SELECT 2 * o_custkey AS src, 2 * l_partkey + 1 AS dst, l_returnflag AS flag, l_quantity AS quantity
@@ -31,11 +32,13 @@ EDGES_SQL = f"""
     pairs AS ({PAIRS_SQL}),
     edges AS (SELECT src, dst FROM pairs WHERE {{where}} UNION SELECT dst, src FROM pairs WHERE {{where}})
 """
+# Deeper than any of these graphs: SQL ends there, the search by itself.
+DEEPEST = 60
 BFS_SQL = """
     WITH RECURSIVE {edges},
     walk(id, d) AS (
         SELECT CAST({start} AS BIGINT), 0
-        UNION SELECT e.dst, w.d + 1 FROM walk w JOIN edges e ON e.src = w.id WHERE w.d < 10),
+        UNION SELECT e.dst, w.d + 1 FROM walk w JOIN edges e ON e.src = w.id WHERE w.d < {deepest}),
     found AS (SELECT id, min(d) AS distance FROM walk GROUP BY id)
 """
 
@@ -43,7 +46,6 @@ BFS_SQL = """
 def purchases(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    lines = spread(lines)
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         (2 * F.col("o_custkey")).alias("src"),
         (2 * F.col("l_partkey") + 1).alias("dst"),
@@ -105,7 +107,7 @@ def _customer_names(spark, folder):
 """)
 def most_connected(spark, folder):
     best = top_k(degrees(parse_adjacency(adjacency_lines(spark, folder))), ["-degree", "id"], 1)
-    return attach_name(best, _customer_names(spark, folder), "id", few=True)
+    return attach_name(best, _customer_names(spark, folder), "id", few=1)
 
 
 @query(f"""
@@ -118,28 +120,41 @@ def least_connected(spark, folder):
     return attach_name(least, _customer_names(spark, folder), "id")
 
 
-@query(f"""
-    SELECT src AS id, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS connections
-    FROM (SELECT DISTINCT src, dst FROM ({PAIRS_SQL})) GROUP BY src
-""")
+SETS_SQL = f"""
+    SELECT src AS id, dst // {WIDTH} AS chunk, list(dst ORDER BY dst) AS connections
+    FROM (SELECT DISTINCT src, dst FROM ({PAIRS_SQL})) GROUP BY ALL
+"""
+
+
+@query(f"SELECT id, chunk, array_to_string(connections, ',') AS connections FROM ({SETS_SQL})")
 def adjacency_sets(spark, folder):
-    # A customer with over `width` parts would take several rows, in SQL still one.
-    sets = adjacency(edges(parse_adjacency(adjacency_lines(spark, folder))))
-    return sets.select("id", F.concat_ws(",", F.col("connections").cast("array<string>")).alias("connections"))
+    sets = adjacency(edges(parse_adjacency(adjacency_lines(spark, folder))), WIDTH)
+    joined = F.concat_ws(",", F.col("connections").cast("array<string>"))
+    return sets.select("id", "chunk", joined.alias("connections"))
+
+
+@query(f"SELECT id, len(connections) AS n FROM ({SETS_SQL}) WHERE list_contains(connections, {TARGET})")
+def lists_target(spark, folder):
+    """The vertices whose adjacency rows list one vertex."""
+    sets = adjacency(edges(parse_adjacency(adjacency_lines(spark, folder))), WIDTH)
+    return sets.where(F.array_contains("connections", F.lit(TARGET).cast("bigint"))).select(
+        "id", F.size("connections").cast("bigint").alias("n")
+    )
 
 
-@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START) + "SELECT id, distance FROM found")
+@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START, deepest=DEEPEST) + "SELECT id, distance FROM found")
 def bfs_levels(spark, folder):
     return bfs_distances(purchase_edges(spark, folder), START)
 
 
-@query(BFS_SQL.format(edges=EDGES_SQL.format(where="quantity >= 48"), start=START) + "SELECT id, distance FROM found")
+@query(BFS_SQL.format(edges=EDGES_SQL.format(where="quantity >= 48"), start=START, deepest=DEEPEST)
+       + "SELECT id, distance FROM found")
 def bfs_levels_bulk(spark, folder):
-    """On the sparse graph of large purchases, which is deeper than the level limit."""
+    """On the sparse graph of large purchases, which is deeper."""
     return bfs_distances(purchase_edges(spark, folder, "quantity >= 48"), START)
 
 
-@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START) + """
+@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START, deepest=DEEPEST) + """
     SELECT distance, count(*) AS vertices, CAST(coalesce(sum(n), 0) AS BIGINT) AS edges
     FROM found LEFT JOIN (SELECT src, count(*) AS n FROM edges GROUP BY src) ON src = id GROUP BY distance
 """)
@@ -147,13 +162,15 @@ def bfs_level_stats(spark, folder):
     return level_stats(purchase_edges(spark, folder), START)
 
 
-@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START) + f"""
+@query(BFS_SQL.format(edges=EDGES_SQL.format(where="true"), start=START, deepest=HOPS) + f"""
     SELECT {START} AS start, {TARGET} AS target, t.distance AS degrees,
            (SELECT count(*) FROM edges e JOIN found f ON f.id = e.src
             WHERE e.dst = {TARGET} AND f.distance = t.distance - 1) AS hits,
            (SELECT count(*) FROM pairs p JOIN found f ON f.id = p.src
-            WHERE p.dst = {TARGET} AND f.distance = t.distance - 1) AS hit_edges
+            WHERE p.dst = {TARGET} AND f.distance = t.distance - 1) AS hit_edges,
+           CASE WHEN t.distance IS NOT NULL THEN true
+                WHEN (SELECT max(distance) FROM found) < {HOPS} THEN false END AS reachable
     FROM (SELECT min(distance) AS distance FROM found WHERE id = {TARGET}) t
 """)
 def separation(spark, folder):
-    return degrees_of_separation(purchase_edges(spark, folder), START, TARGET)
+    return degrees_of_separation(purchase_edges(spark, folder), START, TARGET, max_depth=HOPS)

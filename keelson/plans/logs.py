@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from keelson.functions.logs import DEFAULT_PATTERNS, STRICT_PATTERNS, log_time, parse_access_log
 from keelson.plans.registry import query
 from keelson.session import work_dir
-from keelson.sources import read_lines, stream_lines, stream_table, table, write_lines
+from keelson.sources import stream_lines, stream_table, table, write_lines
 from keelson.streaming import run_available
 from keelson.streaming import status_counts as count_status
 from keelson.streaming import window_counts as count_windows
@@ -88,7 +88,7 @@ def _utc_times(windows):
 
 @query(LOGS_SQL + "SELECT * FROM logs")
 def parse_logs(spark, folder):
-    return parse_access_log(read_lines(spark, _saved_lines(spark, folder)))
+    return parse_access_log(log_lines(table(spark, folder, "events")))
 
 
 @query("WITH " + LINES_SQL + "," + PARSE_SQL.format(**STRICT_PATTERNS) + "SELECT * FROM logs")
@@ -110,6 +110,15 @@ def stream_status_counts(spark, folder):
     return run_available(count_status(parse_access_log(lines)), name="status_counts")
 
 
+@query(STATUS_SQL)
+def stream_status_triggers(spark, folder):
+    """The same counts over several triggers: the state goes from one to the next."""
+    path = work_dir(spark, "log-files")
+    write_lines(log_lines(table(spark, folder, "events")).repartition(3, "value"), path)
+    lines = stream_lines(spark, path, files_per_trigger=1)
+    return run_available(count_status(parse_access_log(lines)), name="status_triggers")
+
+
 @query(EVENT_WINDOWS_SQL)
 def window_counts(spark, folder):
     return count_windows(table(spark, folder, "events"), **EVENT_WINDOWS)

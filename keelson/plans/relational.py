@@ -77,9 +77,28 @@ def value_histogram(spark, folder):
     return histogram(table(spark, folder, "lineitem"), "l_linenumber")
 
 
-@query("SELECT o_orderpriority, round(avg(o_totalprice), 2) AS mean_price FROM orders GROUP BY o_orderpriority")
+MEAN_SQL = """
+    SELECT {key}, CAST(round(CAST(sum(CAST({money} AS DECIMAL(18, 2))) AS DOUBLE) / count({money}), 2) AS DOUBLE) AS {name}
+    FROM {table} GROUP BY {key}
+"""
+
+
+@query(MEAN_SQL.format(key="o_orderpriority", money="o_totalprice", name="mean_price", table="orders"))
 def mean_by_key(spark, folder):
-    return mean_by(table(spark, folder, "orders"), ["o_orderpriority"], "o_totalprice", 2, "mean_price")
+    """Money is summed as decimals: a mean of doubles depends on the order of the rows."""
+    exact = table(spark, folder, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    means = mean_by(exact, ["o_orderpriority"], "o_totalprice", 2, "mean_price")
+    return means.withColumn("mean_price", F.col("mean_price").cast("double"))
+
+
+@query(MEAN_SQL.format(key="c_nationkey", money="c_acctbal", name="mean_balance", table="customer"))
+def mean_by_key_sql(spark, folder):
+    """Grouping, a rounded mean and an order, all in SQL text over a view."""
+    table(spark, folder, "customer").createOrReplaceTempView("banked_customers")
+    return spark.sql("""
+        SELECT c_nationkey, CAST(round(avg(CAST(c_acctbal AS DECIMAL(18, 2))), 2) AS DOUBLE) AS mean_balance
+        FROM banked_customers GROUP BY c_nationkey ORDER BY mean_balance DESC, c_nationkey
+    """)
 
 
 @query("""
@@ -152,7 +171,7 @@ def popular_parts(spark, folder):
     counts = table(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
     best = top_k(counts.agg(F.count(F.lit(1)).alias("n")), ["-n", "p_partkey"], 10)
     names = table(spark, folder, "part").select("p_partkey", "p_name")
-    return attach_name(best, names, "p_partkey", few=True).orderBy(F.desc("n"), "p_partkey")
+    return attach_name(best, names, "p_partkey", few=10).orderBy(F.desc("n"), "p_partkey")
 
 
 @query("""
@@ -168,7 +187,7 @@ def top1_customer(spark, folder):
     totals = sum_by(exact, ["c_custkey"], "price", ascending=None, alias="total_spent")
     best = top_k(totals, ["-total_spent", "c_custkey"], 1)
     names = table(spark, folder, "customer").select("c_custkey", "c_name")
-    return attach_name(best, names, "c_custkey", few=True).withColumn(
+    return attach_name(best, names, "c_custkey", few=1).withColumn(
         "total_spent", F.col("total_spent").cast("double")
     )
 

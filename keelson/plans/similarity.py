@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from keelson.operators import similarity as sim
 from keelson.operators.ranking import attach_name
 from keelson.plans.registry import query
-from keelson.sources import spread, table
+from keelson.sources import table
 
 ITEM = "Brand#10 STANDARD"
 MIN_SCORE, MIN_STRENGTH = 0.80, 50
@@ -37,7 +37,7 @@ def _kinds(spark, folder):
 
 
 def kind_ratings(spark, folder):
-    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
     kinds = _kinds(spark, folder).select("p_partkey", "item")
     # Kinds first: a filter on one kind then thins the line items before they meet the orders.
@@ -48,7 +48,6 @@ def kind_ratings(spark, folder):
 
 def part_ratings(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"), "l_quantity")
-    lines = spread(lines)
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
     bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return sim.unique_ratings(bought.select("user", "item", F.col("l_quantity").alias("rating")))
@@ -82,7 +81,7 @@ SIMILAR_SQL = KIND_SQL + """,
 def similar_to(spark, folder, min_strength):
     best = sim.similar_items(kind_ratings(spark, folder), ITEM, MIN_SCORE, min_strength)
     titles = _kinds(spark, folder).groupBy("item").agg(F.min("p_name").alias("title"))
-    return attach_name(best, titles, "item", few=True).orderBy(F.desc("score"), F.desc("strength"), "item")
+    return attach_name(best, titles, "item", few=10).orderBy(F.desc("score"), F.desc("strength"), "item")
 
 
 @query(SIMILAR_SQL.format(item=ITEM, score=MIN_SCORE, strength=MIN_STRENGTH))

@@ -8,7 +8,7 @@ from keelson.functions import words
 from keelson.operators.keyed import word_counts as count_words
 from keelson.operators.ranking import top_k
 from keelson.plans.registry import query
-from keelson.sources import spread, table
+from keelson.sources import table
 
 COUNT_SQL = """
     SELECT word, count(*) AS n
@@ -20,7 +20,7 @@ ASCII = r"\W+"
 
 
 def _texts(spark, folder):
-    return spread(table(spark, folder, "documents").select("text"))
+    return table(spark, folder, "documents").select("text")
 
 
 @query(COUNT_SQL.format(pattern=UNICODE, where="WHERE word <> ''"))

@@ -33,6 +33,12 @@ def build_session(app: str = "keelson", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``work_dir`` gave, once no DataFrame reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared checkpoint folder, for tables that cut lineage.
 

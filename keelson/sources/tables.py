@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 # The standard tables. A given schema spares the job that would read a footer.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -31,22 +30,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a source with fewer splits than the session has cores over all cores.
-
-    For work that costs much more per row than a shuffle does: a reader cannot split a row group,
-    so a small file would be one task. A source with splits enough is returned as it is. Rows go
-    by the hash of all their columns, so select the wanted ones first.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *df.columns)
-
-
 def stream_table(
     spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same table as an unbounded one."""
+    """The same table as an unbounded one, whether it is one file or a folder of part files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
     reader = spark.readStream.schema(SCHEMAS[name])
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if status.isDirectory():
+        return reader.parquet(f"{folder}/{name}.parquet")
+    # A stream watches folders: the file is picked out of its own.
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)

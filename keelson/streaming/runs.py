@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from keelson.session import work_dir
+from keelson.session import remove, work_dir
 
 
 def run_available(stream: DataFrame, mode: str = "complete", name: str | None = None) -> DataFrame:
@@ -14,8 +14,12 @@ def run_available(stream: DataFrame, mode: str = "complete", name: str | None =
     The result is a parquet table in the shared working folder, next to the query's checkpoint;
     rows go there from the executors. Append mode uses the file sink. Complete mode replaces the
     whole result at each trigger, which the file sink cannot: each trigger writes its own
-    ``trigger=<id>`` folder, so a replayed trigger overwrites only itself, and the last is read.
+    ``trigger=<id>`` folder, so a replayed trigger overwrites only itself, the last is read, and
+    those before it are removed. Update mode is refused: a trigger then gives only the rows that
+    it changed, and their union is no table of results.
     """
+    if mode not in ("append", "complete"):
+        raise ValueError(f"mode {mode!r} does not give a result table")
     spark = stream.sparkSession
     root = work_dir(spark, name or "stream")
     writer = stream.writeStream.outputMode(mode).trigger(availableNow=True)
@@ -30,6 +34,8 @@ def run_available(stream: DataFrame, mode: str = "complete", name: str | None =
 
     def save(batch: DataFrame, trigger: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/result/trigger={trigger}")
+        if last and last[0] != trigger:
+            remove(spark, f"{root}/result/trigger={last[0]}")
         last[:] = [trigger]
 
     writer.foreachBatch(save).start().awaitTermination()

@@ -31,6 +31,7 @@ DUCK_TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 

@@ -89,3 +89,26 @@ def test_console_sink(spark, log_folder, capfd):
     _, stream = batch_and_stream(spark, log_folder)
     query = start_console(status_counts(stream), name="console_counts", availableNow=True)
     assert query.awaitTermination(120) and query.exception() is None
+
+
+def test_update_mode_is_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("x\n")
+    stream = spark.readStream.text(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="update"):
+        run_available(stream.groupBy("value").count(), mode="update")
+
+
+def test_only_the_last_trigger_is_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i, text in enumerate(("a\nb\n", "a\n", "b\nb\n")):
+        (source / f"{i}.txt").write_text(text)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))
+    found = run_available(stream.groupBy("value").count())
+    assert {tuple(r) for r in found.collect()} == {("a", 2), ("b", 3)}
+    (path,) = found.inputFiles()[:1]
+    folder = path.split("/trigger=")[0].removeprefix("file://")
+    import os
+
+    assert [x for x in os.listdir(folder) if not x.startswith(".")] == ["trigger=2"]

@@ -48,3 +48,12 @@ def test_recommendations(spark):
         assert [m[0] for m in mine] == [1, 2, 3, 4, 5]
         assert all(m[1] % 2 == user for m in mine)
         assert [m[2] for m in mine] == sorted((m[2] for m in mine), reverse=True)
+
+
+def test_dense_numbers_for_any_ids(spark):
+    ids = [2**40 + i * i for i in range(300)]
+    df = spark.createDataFrame([(i,) for i in [*ids, *ids[:50], None]], "user bigint")
+    for parts in (1, 7):
+        found = {r.user: r.number for r in models.numbered(df, "user", parts).collect()}
+        assert set(found) == set(ids) and sorted(found.values()) == list(range(300))
+    assert models.numbered(df.limit(0), "user").count() == 0

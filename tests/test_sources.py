@@ -64,3 +64,19 @@ def test_lines_roundtrip(spark):
 def test_work_dir_follows_the_session(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_a_stream_of_a_table_in_one_file_or_many(spark, tmp_path):
+    from keelson.sources import stream_table, table
+    from keelson.streaming import run_available
+
+    rows = [(i, None, i % 3, "view", 1.0, "{}") for i in range(50)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    df = spark.createDataFrame(rows, schema)
+    df.repartition(4).write.parquet(f"{tmp_path}/many/events.parquet")
+    df.coalesce(1).write.parquet(f"{tmp_path}/part")
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "part").glob("part-*.parquet")).rename(tmp_path / "one" / "events.parquet")
+    for layout in ("one", "many"):
+        found = run_available(stream_table(spark, f"{tmp_path}/{layout}", "events"), mode="append")
+        assert found.count() == table(spark, f"{tmp_path}/{layout}", "events").count() == 50

@@ -85,3 +85,41 @@ def test_order_keys_of_other_types(spark):
         ids = [r.id for r in df.orderBy(*order).collect()]
         fold = {r.id: r.fold for r in splits.k_fold(df, order, 4).collect()}
         assert [fold[i] for i in ids] == sorted(fold.values())
+
+
+def test_a_weight_of_zero_gives_an_empty_part(spark):
+    df = spark.range(1000)
+    for weights in ([1, 0], [0, 1], [1, 0, 1], [1, 1e-12]):
+        got = {r.part: r.n for r in splits.hash_split(df, ["id"], weights).groupBy("part").count().toDF("part", "n").collect()}
+        assert all(got.get(i, 0) == 0 for i, w in enumerate(weights) if w < 1e-9) and sum(got.values()) == 1000
+    for weights in ([0, 0], [-1, 2], []):
+        with pytest.raises(ValueError):
+            splits.hash_cuts(weights)
+
+
+def test_folds_over_a_clock_change(spark):
+    """240 minutes around the end of summer time: the repeated hour holds 120 of them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = 1_730_606_400  # two hours before clocks go back, as seconds
+        df = spark.range(240).select(F.timestamp_seconds(F.lit(start) + F.col("id") * 60).alias("t"))
+        folds = splits.k_fold(df, ["t"], 4).groupBy("fold").count().collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(tuple(r) for r in folds) == [(1, 60), (2, 60), (3, 60), (4, 60)]
+
+
+@pytest.mark.parametrize("most", [200, 30, 3])
+def test_wide_slices_are_cut_again(table, rows, most):
+    ordered = sorted((t, i) for _, t, i in rows)
+    ranks = [1, 2, 57, 200, 201, 399, 400]
+    _, found = splits.keys_at_ranks(table, ["ts", "id"], lambda n: ranks, most)
+    assert set(found) == set(ranks)
+    for rank, key in found.items():
+        assert tuple(table.select(key.alias("k")).first().k) == ordered[rank - 1]
+
+
+def test_seeded_split_by_spark(spark):
+    a, b = splits.random_split(spark.range(1000), [0.7, 0.3], 5)
+    assert a.count() + b.count() == 1000 and 600 < a.count() < 800
