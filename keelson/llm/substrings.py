@@ -270,7 +270,10 @@ def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
     anchors = found.groupBy("anchor").agg(
         F.count("*").alias("total"), F.min("context").alias("low"), F.max("context").alias("high")
     )
-    again = anchors.where("total > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+    # Stored, so that the join below has a shuffle on both sides, and its hot partitions are split.
+    again = stored(
+        anchors.where("total > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchors"
+    )
     near = stored(found.join(again, "anchor").withColumn("place", F.monotonically_increasing_id()), "repeated-anchors")
     alike = near.where("NOT mixed").select(*KEY, "start", "windows")
     near = near.where("mixed").drop("mixed")
