@@ -50,10 +50,12 @@ def repeated_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     position = F.struct(*KEY, "mark_line")
     # Two positions differ as soon as the least and the greatest do; both combine on the map side.
     marks = found.groupBy("mark").agg(F.min(position).alias("a"), F.max(position).alias("b"))
-    near = found.join(marks.where("a != b").select("mark"), "mark", "left_semi")
+    # Stored, so that the joins have a shuffle on both sides, and their hot partitions are split.
+    near = found.join(stored(marks.where("a != b").select("mark"), "line-marks"), "mark", "left_semi")
     at = F.struct(*KEY, "line")
     runs = near.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("final"))
-    again = near.join(runs.where("first != final").select("run", "first"), "run").where(at != F.col("first"))
+    again = near.join(stored(runs.where("first != final").select("run", "first"), "line-runs"), "run")
+    again = again.where(at != F.col("first"))
     cut = again.select(*KEY, F.explode(F.sequence("line", "last")).alias("line"))
     return cut.groupBy(*KEY).agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
