@@ -58,18 +58,19 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Alternates two steps until nothing changes: every node points its larger neighbours, then all
     its smaller ones, at the smallest node it knows. The number of rounds grows with the logarithm
-    of the longest path. Minima are combined on the map side and joined back, so that a node with
-    a third of the edges is split like any skewed join. Each round is stored.
+    of the longest path. Minima are combined on the map side, stored and joined back, so that a
+    node with a third of the edges is split like any skewed join. Each round is stored.
     """
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = stored(edges.distinct(), label)
     before = _state(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), label)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, label)
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), label)
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(
             low.select("u", F.col("m").alias("v"))
