@@ -28,9 +28,9 @@ def test_narrow_schema_and_charset(spark, tmp_path):
 
 
 def test_quoted_names(spark, tmp_path):
-    path = save(tmp_path / "names", '1 "ANT MAN/DR. PYM"\n2 "BLADE"\n')
+    path = save(tmp_path / "names", '1 "LONG NAME/WITH SLASH"\n2 "SHORT"\n')
     names = read_delimited(spark, path, "id int, name string", sep=" ")
-    assert [r.name for r in names.collect()] == ["ANT MAN/DR. PYM", "BLADE"]
+    assert [r.name for r in names.collect()] == ["LONG NAME/WITH SLASH", "SHORT"]
 
 
 def test_inferred_header_with_byte_order_mark(spark, tmp_path):
@@ -41,19 +41,19 @@ def test_inferred_header_with_byte_order_mark(spark, tmp_path):
 
 
 def test_positional_fields(spark):
-    df = lines(spark, "0,Will,33,385", "1,Jean,x,2", "2,Hugh")
+    df = lines(spark, "0,Ono,31,350", "1,Pia,x,2", "2,Rui")
     got = select_positional(df, [(2, "int", "age"), (3, "int", "friends")]).collect()
-    assert [tuple(r) for r in got] == [(33, 385), (None, 2), (None, None)]
+    assert [tuple(r) for r in got] == [(31, 350), (None, 2), (None, None)]
 
 
 def test_positional_fields_on_whitespace(spark):
-    got = select_positional(lines(spark, "196\t242  3\t881250949"), [(2, "int", "rating")], sep=None)
+    got = select_positional(lines(spark, "191\t248  3\t881000001"), [(2, "int", "rating")], sep=None)
     assert got.first().rating == 3
 
 
 def test_adjacency_lines(spark):
-    df = parse_adjacency(lines(spark, "5306 14 1  1 7 ", "9", "", "x 1", " 5 \t6 q"))
-    assert {r.id: r.connections for r in df.collect()} == {5306: [14, 1, 1, 7], 9: [], 5: [6, None]}
+    df = parse_adjacency(lines(spark, "5301 14 1  1 7 ", "9", "", "x 1", " 5 \t6 q"))
+    assert {r.id: r.connections for r in df.collect()} == {5301: [14, 1, 1, 7], 9: [], 5: [6, None]}
 
 
 def test_lines_roundtrip(spark):
