@@ -22,11 +22,16 @@ BUCKETS, PER_LANGUAGE, IN_ALL, LONG_CODE = 4096, 400, 6000, 31
 #: A text is ambiguous if its second language has at least this share of the first one's weight.
 CLOSE = 0.5
 
-LETTER = re.compile(r"[^\W\d_]")
+MAYBE_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII characters that are no letters all count as a blank.
 PLAIN = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 
 
+def has_letter(text: str | None) -> bool:
+    # What is no digit but alphanumeric may still be a number sign, such as a fraction.
+    return any(m[0].isalpha() for m in MAYBE_LETTER.finditer(text or ""))
+
+
 def shares(text: str) -> np.ndarray:
     """Square roots of the shares of hashed byte 2- and 3-grams in a whole text, of unit length."""
     raw = (" " + text.lower() + " ").encode().translate(PLAIN)
@@ -140,7 +145,7 @@ def identify(docs: DataFrame, held: Column, lang: str = "lang") -> DataFrame:
         codes = shared.value
         for part in parts:
             out = pd.DataFrame({"lang_pred": "und", "score": 0.0, "second": 0.0, "ambiguous": True}, index=part.index)
-            texts = [(i, t) for i, t in enumerate(part) if codes is not None and t and LETTER.search(t)]
+            texts = [(i, t) for i, t in enumerate(part) if codes is not None and has_letter(t)]
             for at in range(0, len(texts), 512):
                 some = texts[at : at + 512]
                 best, score, second = codes.decode(np.array([shares(t) for _, t in some]))

@@ -362,6 +362,11 @@ def test_language_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
 
 
+def test_letters():
+    assert language.has_letter("½ x") and language.has_letter("中") and language.has_letter("é")
+    assert not any(language.has_letter(t) for t in (None, "", "12 ½ ² _ !", "\U0001f600"))
+
+
 @pytest.mark.parametrize("count", [1, 2, 4, 7, 12])
 def test_codewords_are_apart(count):
     code = language.codewords(count)
