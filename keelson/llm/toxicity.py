@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import stored
@@ -137,8 +137,11 @@ def learn(
         F.max("toxic").cast("int").alias("toxic")
     )
     marks = marks.withColumn("place", F.xxhash64("doc_id"))
-    order = Window.partitionBy("toxic").orderBy("place", "doc_id")
-    chosen = marks.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).drop("rank")
+    # Each task keeps its first rows of a class, so that none gets all of them.
+    clean, toxic = (
+        marks.where(kind).orderBy("place", "doc_id").limit(per_class) for kind in ("toxic <= 0", "toxic > 0")
+    )
+    chosen = clean.union(toxic)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 ``per_class`` rows
     first = texts.groupBy("doc_id", "place", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sample = stored(first.select("place", "text", "toxic"), "toxicity-sample")
