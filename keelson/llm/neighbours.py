@@ -1,9 +1,10 @@
 """Nearest neighbours by inner product: a small-world graph for each shard, results merged.
 
-Different vectors are dealt to shards of bounded size by a hash. A shard's graph is hierarchical:
-each vector is on the lowest level, every ``LINKS``-th or so on the next. On a level its neighbours
-are a row of a flat array. Vectors get one component more, which gives all of a shard the same
-norm; then the largest inner product is the least distance too. A search goes down greedily to the
+Different vectors are dealt to shards of bounded size by their norm, to a factor of two, and a hash.
+A shard's graph is hierarchical: each vector is on the lowest level, every ``LINKS``-th or so on the
+next. On a level its neighbours are a row of a flat array. Vectors get one component more, which
+gives all of a shard the same norm; then the largest inner product is the least distance too. As the
+norms of a shard are comparable, so is that component, and single precision tells its vectors apart. A search goes down greedily to the
 lowest level and there widens to the best ``BEAM`` vectors seen. Searches and insertions run many
 at a time in step.
 """
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import stored
@@ -138,9 +139,17 @@ def unpack(vectors: np.ndarray, height: int, links: bytes, width: int = LINKS) -
 
 
 def one_norm(vectors: np.ndarray) -> np.ndarray:
-    """The vectors with a component more, so that all have the largest norm."""
-    squares = (vectors.astype(np.float64) ** 2).sum(1)
-    return np.c_[vectors, np.sqrt(np.maximum(squares.max() - squares, 0))].astype(np.float32)
+    """The vectors in a common unit with a component more, so that all have the largest norm."""
+    scaled = vectors / np.abs(vectors).max()
+    squares = (scaled**2).sum(1)
+    return np.c_[scaled, np.sqrt(np.maximum(squares.max() - squares, 0))].astype(np.float32)
+
+
+def norm_band(vector: str) -> Column:
+    """The binary logarithm of the norm, rounded. No square leaves the range of a double."""
+    most = F.array_max(F.transform(vector, F.abs))
+    share = F.aggregate(F.transform(vector, lambda x: (x / most) * (x / most)), F.lit(0.0), lambda a, x: a + x)
+    return F.round(F.log2(most) + F.log2(share) / 2).cast("int")
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -167,12 +176,17 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD
     first = Window.partitionBy("vector").orderBy("vec_id")
     held = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k + 1)
     points = held.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    points = stored(points.withColumn("place", F.xxhash64("vector")), "points")
-    shards = max(1, -(-points.count() // shard))
+    dims = F.size("vector").alias("dims")
+    points = points.select(dims, norm_band("vector").alias("band"), F.xxhash64("vector").alias("place"), "vector", "ids")
+    points = stored(points, "points")
     queries = rows.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // BLOCK))
-    dims = F.size("vector").alias("dims")
-    dealt = points.select(dims, F.pmod("place", F.lit(shards)).cast("int").alias("shard"), "place", "vector", "ids")
+    # A band of norms has shards of its own, numbered after those of smaller norms: a row for each band.
+    bands = points.groupBy("dims", "band").agg(F.ceil(F.count("*") / shard).cast("int").alias("own"))
+    below = Window.partitionBy("dims").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = stored(bands.withColumn("base", F.coalesce(F.sum("own").over(below), F.lit(0))), "bands")
+    number = (F.col("base") + F.pmod("place", F.col("own"))).cast("int").alias("shard")
+    dealt = points.join(bands, ["dims", "band"]).select("dims", number, "place", "vector", "ids")
 
     def index(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("place", kind="stable")
@@ -210,7 +224,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD
         wanted = np.array(asked["vector"].tolist(), np.float64)
         for at in range(0, len(names), 256):
             part = wanted[at : at + 256]
-            place, _ = searcher.search(np.c_[part, np.zeros(len(part))].astype(np.float32), beam)
+            unit = part / np.abs(part).max(1, keepdims=True)
+            place, _ = searcher.search(np.c_[unit, np.zeros(len(part))].astype(np.float32), beam)
             for name, q, found in zip(names[at : at + 256].tolist(), part, place, strict=True):
                 found = found[found >= 0]
                 score = np.einsum("nd,d->n", exact[found], q)
@@ -222,10 +237,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD
         return pd.concat(out, ignore_index=True)
 
     # Every block of queries meets every shard, once: blocks and shards name the pair.
-    to_shards = queries.select(
-        dims, "vec_id", "vector", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-    )
+    block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias("block")
+    totals = bands.groupBy("dims").agg(F.sum("own").cast("int").alias("shards"))
+    to_shards = queries.select(dims, "vec_id", "vector", block).join(totals, "dims")
+    to_shards = to_shards.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
     to_blocks = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["dims", "shard", "block"]
     found = to_blocks.groupBy(*keys).cogroup(to_shards.groupBy(*keys)).applyInPandas(

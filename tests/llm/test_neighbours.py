@@ -40,3 +40,14 @@ def test_recall_over_shards(spark, lengths):
     want = {(q, i) for q, _, i in brute(rows)}
     assert len(set(found) & want) >= 0.9 * len(want)
     assert all(s == pytest.approx(np.dot(np.float64(rows[q][1]), np.float64(rows[i][1])), rel=1e-12) for (q, i), s in found.items())
+
+
+@pytest.mark.parametrize("length", [1e4, 1e30])
+def test_one_long_vector_spoils_no_graph(spark, length):
+    x = np.random.default_rng(4).normal(size=(2000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= length
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(frame(spark, rows)).collect()}
+    want = {(q, i) for q, _, i in brute(rows)}
+    assert len(found & want) >= 0.95 * len(want)
