@@ -88,7 +88,8 @@ class Ids:
     """Token ids of texts by a byte-level BPE vocabulary, made once in a Python worker.
 
     ``ranks`` is a file of ranks, ``pattern`` splits the text; ``full`` is the same vocabulary as a
-    tokenizer file, for the rare text whose splitting the faster library gives up.
+    tokenizer file. It names the added tokens, whose strings in a text are one id each, and serves
+    the rare text whose splitting the faster library gives up.
     """
 
     _made: dict = {}
@@ -97,18 +98,21 @@ class Ids:
         if (ranks, full) not in cls._made:
             cls._made[ranks, full] = made = super().__new__(cls)
             import base64
+            import json
 
             import tiktoken
 
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            made.fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+            with open(full, encoding="utf-8") as file:
+                added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+            made.fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=table, special_tokens=added)
             made.full, made.slow = full, None
         return cls._made[ranks, full]
 
     def __call__(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_to_numpy(text, disallowed_special=())
+            return self.fast.encode_to_numpy(text, allowed_special="all")
         except (KeyboardInterrupt, SystemExit, MemoryError):
             raise
         except BaseException:  # a library's panic is no Exception
@@ -116,7 +120,6 @@ class Ids:
                 from tokenizers import Tokenizer
 
                 self.slow = Tokenizer.from_file(self.full)
-                self.slow.encode_special_tokens = True
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 

@@ -1,5 +1,6 @@
 """Operators on odd rows and against brute force."""
 
+import functools
 import hashlib
 import math
 import random
@@ -223,6 +224,34 @@ def test_packing_round_trip(odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+@functools.cache
+def tokenizer_file():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_files()[2])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", " ", "\n", "'s", "12", "ß", "\U0001f600"]), max_size=12))
+def test_ids_are_those_of_the_tokenizer_file(parts):
+    text = "".join(parts)
+    want = tokenizer_file().encode(text, add_special_tokens=False).ids
+    made = packing.Ids(*packing.tokenizer_files())
+    assert made(text).tolist() == want
+    fast, made.fast = made.fast, None  # as if the faster library had given up
+    try:
+        assert made(text).tolist() == want
+    finally:
+        made.fast = fast
+
+
+def test_packing_keeps_added_tokens(spark):
+    docs = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id bigint, text string")
+    row = packing.pack(docs, ids=True).first()
+    assert row.ids == [64, 50256, 65, 0] and row.doc_tokens == row.length == 4
+    assert row.ids_crc32 == zlib.crc32(np.array(row.ids, "<u4").tobytes())
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 100), max_size=80))
 def test_windows_hold_all_and_overflow_none(sizes):
