@@ -8,6 +8,7 @@ from keelson.llm import (
     contamination,
     language,
     lines,
+    mixing,
     neighbours,
     packing,
     secret_scan,
@@ -15,6 +16,7 @@ from keelson.llm import (
     substrings,
     suffix_tree,
     toxicity,
+    whitening,
 )
 from keelson.llm.common import held_out, key_id
 from keelson.sources import table
@@ -162,3 +164,50 @@ def op3_toxicity(spark, folder):
 @query()
 def op9_neighbours(spark, folder):
     return neighbours.nearest(table(spark, folder, "embeddings"), k=20, every=20)
+
+
+@query()
+def op11_whitening(spark, folder):
+    return whitening.whitened(table(spark, folder, "embeddings"), most=4)
+
+
+@query(r"""
+    WITH docs AS (
+        SELECT d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+               -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 13)
+                   AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / coalesce(weight, 1.0::DOUBLE) AS draw
+        FROM documents d LEFT JOIN (SELECT doc_id, max(1.0::DOUBLE + quality) AS weight FROM labels GROUP BY doc_id) q
+            ON d.doc_id IS NOT DISTINCT FROM q.doc_id),
+    sizes AS (SELECT source, CAST(sum(size) AS HUGEINT) AS s FROM docs GROUP BY source),
+    ranked AS (
+        SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS HUGEINT) AS w FROM sizes),
+    ordered AS (
+        SELECT *, sum(s) OVER () AS t, sum(w) OVER () AS h,
+               coalesce(sum(3 * s) OVER before, 0) AS tb, coalesce(sum(w) OVER before, 0) AS hb
+        FROM ranked
+        WINDOW before AS (ORDER BY CAST(3 * s AS DOUBLE) / CAST(w AS DOUBLE), source NULLS LAST
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    marked AS (SELECT *, 3 * s * (h - hb) <= (t - tb) * w AS capped FROM ordered),
+    level AS (
+        SELECT max(t) - coalesce(sum(3 * s) FILTER (WHERE capped), 0) AS remaining,
+               max(h) - coalesce(sum(w) FILTER (WHERE capped), 0) AS weights FROM marked),
+    targets AS (
+        SELECT source, CAST(s AS BIGINT) AS source_size,
+               CASE WHEN capped THEN CAST(3 * s AS DOUBLE)
+                    ELSE CAST(w AS DOUBLE) * CAST(remaining AS DOUBLE) / CAST(greatest(weights, 1) AS DOUBLE) END AS target
+        FROM marked, level),
+    placed AS (
+        SELECT docs.*, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+               CAST(coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY draw, doc_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+        FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(
+               CASE WHEN source_size = 0 THEN 0
+                    ELSE budget // source_size * size + greatest(0, least(size, budget % source_size - before)) END
+               AS BIGINT) AS taken
+    FROM placed
+""")
+def op12_mixing(spark, folder):
+    labels = table(spark, folder, "labels").select("doc_id", (F.lit(1.0) + F.col("quality")).alias("weight"))
+    mixed = mixing.mix(table(spark, folder, "documents"), labels, weights=(1, 2, 3), most=3)
+    return mixed.select(key_id().alias("doc_id"), "size", "source_size", "target", "taken")
