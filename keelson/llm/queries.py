@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import (
     contamination,
+    conversations,
     language,
     lines,
     mixing,
@@ -211,3 +212,9 @@ def op12_mixing(spark, folder):
     labels = table(spark, folder, "labels").select("doc_id", (F.lit(1.0) + F.col("quality")).alias("weight"))
     mixed = mixing.mix(table(spark, folder, "documents"), labels, weights=(1, 2, 3), most=3)
     return mixed.select(key_id().alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query()
+def op13_conversations(spark, folder):
+    turns = table(spark, folder, "conversations")
+    return conversations.repair(conversations.damaged(turns), ids=turns.select("conv_id"))
