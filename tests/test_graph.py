@@ -1,4 +1,5 @@
 import random
+import re
 from collections import deque
 
 import pytest
@@ -79,11 +80,57 @@ def test_degrees_add_up_over_lines(spark):
 
 
 def test_adjacency_splits_wide_vertices(spark):
-    pairs = [(0, i) for i in range(1000)] + [(0, 3), (1, 2), (1, 0)]
+    far = 2**62
+    pairs = [(0, i * far // 1000) for i in range(1, 1001)] + [(0, 3 * far // 1000), (1, 2), (1, far), (1, 0), (1, far - 1)]
+    pairs += [(2, 7)] * 60  # many repeats of one neighbour are still one row
     rows = graph.adjacency(edge_table(spark, pairs), width=50).collect()
-    assert [(r.chunk, r.connections) for r in rows if r.id == 1] == [(0, [0, 2])]
+    assert [(r.chunk, r.connections) for r in rows if r.id == 1] == [(0, [0, 2, far - 1, far])]
+    assert [(r.chunk, r.connections) for r in rows if r.id == 2] == [(0, [7])]
     hot = {r.chunk: r.connections for r in rows if r.id == 0}
-    assert hot == {c: list(range(50 * c, 50 * c + 50)) for c in range(20)}
+    assert hot == {c: [i * far // 1000 for i in range(50 * c + 1, 50 * c + 51)] for c in range(20)}
+
+
+def exchanges(plan):
+    """The columns that each exchange of a plan deals by."""
+    return sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan))
+
+
+def test_no_level_moves_the_edges(spark, random_pairs):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        search = graph.Search(edge_table(spark, random_pairs), 0)
+        assert search.hot.count()  # the vertex with a third of the edges has several salts
+        for _ in range(3):
+            plan = search.ahead()._jdf.queryExecution().executedPlan().toString()
+            # The frontier goes to the edges, what it finds to the ids; scans of tables stay in place.
+            assert exchanges(plan) == ["id", "src"], plan
+            assert plan.count("SortMergeJoin") == 2
+            search.go()
+        search.close()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("undirected", [False, True])
+def test_separation_from_both_ends(spark, random_pairs, undirected):
+    pairs = random_pairs + [(b, a) for a, b in random_pairs] if undirected else random_pairs
+    table = edge_table(spark, pairs)
+    for start, target in [(0, 17), (17, 0), (8, 90)]:
+        distance = walk(pairs, start, 99)
+        degrees = distance.get(target)
+        before = [a for a, b in pairs if b == target != a and distance.get(a) == (degrees or 0) - 1] if degrees else []
+        want = (start, target, degrees, len(set(before)), len(before), degrees is not None)
+        assert tuple(graph.degrees_of_separation(table, start, target, 99, undirected).first()) == want
+
+
+def test_each_search_goes_half_the_way(spark, monkeypatch):
+    taken = []
+    go = graph.Search.go
+    monkeypatch.setattr(graph.Search, "go", lambda self, **how: taken.append(self) or go(self, **how))
+    chain = edge_table(spark, [(i, i + 1) for i in range(8)])
+    assert graph.degrees_of_separation(chain, 0, 8).first().degrees == 8
+    assert sorted(taken.count(x) for x in set(taken)) == [4, 4] or len(taken) == 8
 
 
 def test_no_limit_unless_given(spark):
