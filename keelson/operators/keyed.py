@@ -7,9 +7,11 @@ a third of all rows sends one partial row per task through the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from keelson.functions import to_ascii, words
 
@@ -19,9 +21,28 @@ def histogram(df: DataFrame, column: str, count: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(count)).orderBy(column)
 
 
+def exact_mean(total: Column, n: Column, scale: int, places: int) -> Column:
+    """``total / n`` of decimals with ``scale`` digits, rounded half up once, by whole numbers alone.
+
+    A quotient that is cut to some digits first, or kept in binary, can fall on the wrong side of a
+    half. NULL where ``n`` is 0.
+    """
+    whole = "decimal(38,0)"
+    ups = (F.abs(total) * 10**scale).cast(whole) * F.lit(10 ** max(places - scale, 0)).cast("decimal(18,0)")
+    downs = n.cast("decimal(19,0)") * F.lit(10 ** max(scale - places, 0)).cast("decimal(18,0)")
+    half_up = F.call_function("div", ups.cast(whole) * 2 + downs, downs.cast(whole) * 2)
+    unit = F.lit(Decimal(1).scaleb(-places))
+    return F.when(n > 0, (F.signum(total).cast("int") * half_up).cast("decimal(20,0)") * unit)
+
+
 def mean_by(
     df: DataFrame, keys: Sequence[str], column: str, places: int | None = None, alias: str = "mean"
 ) -> DataFrame:
+    """Mean per key. A rounded mean of decimals is exact; of doubles it depends on the rows' order."""
+    kind = df.schema[column].dataType
+    if places is not None and isinstance(kind, DecimalType):
+        mean = exact_mean(F.sum(column), F.count(column), kind.scale, places)
+        return df.groupBy(*keys).agg(mean.alias(alias))
     mean = F.avg(column)
     return df.groupBy(*keys).agg((mean if places is None else F.round(mean, places)).alias(alias))
 

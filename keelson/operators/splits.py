@@ -11,7 +11,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import accumulate
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,12 +141,17 @@ def leave_n_out(
         _, cut = keys_at_ranks(held, order, lambda n: [max_test])
         if cut:
             held = held.where(row <= cut[max_test])
-    bounds = held.groupBy(*keys).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    names = [f"_key{i}" for i in range(len(keys))]
+    bounds = held.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True))).agg(
+        F.min(row).alias("_first"), F.max(row).alias("_last")
+    )
     is_test = row.between(F.col("_first"), F.col("_last"))
+    # A null key is a key.
+    same = reduce(and_, (df[k].eqNullSafe(bounds[n]) for k, n in zip(keys, names, strict=True)))
     return (
-        df.join(bounds, list(keys), "left")
+        df.join(bounds, same, "left")
         .withColumn(part, F.when(is_test, "test").otherwise("base"))
-        .drop("_first", "_last")
+        .drop("_first", "_last", *names)
     )
 
 

@@ -77,9 +77,11 @@ def value_histogram(spark, folder):
     return histogram(table(spark, folder, "lineitem"), "l_linenumber")
 
 
+# Whole cents, halves up: no quotient is rounded before, and none is binary.
 MEAN_SQL = """
-    SELECT {key}, CAST(round(CAST(sum(CAST({money} AS DECIMAL(18, 2))) AS DOUBLE) / count({money}), 2) AS DOUBLE) AS {name}
-    FROM {table} GROUP BY {key}
+    SELECT {key}, CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DOUBLE) / 100 AS {name}
+    FROM (SELECT {key}, CAST(sum(CAST({money} AS DECIMAL(18, 2))) * 100 AS HUGEINT) AS cents, count({money}) AS n
+          FROM {table} GROUP BY {key})
 """
 
 
@@ -96,8 +98,12 @@ def mean_by_key_sql(spark, folder):
     """Grouping, a rounded mean and an order, all in SQL text over a view."""
     table(spark, folder, "customer").createOrReplaceTempView("banked_customers")
     return spark.sql("""
-        SELECT c_nationkey, CAST(round(avg(CAST(c_acctbal AS DECIMAL(18, 2))), 2) AS DOUBLE) AS mean_balance
-        FROM banked_customers GROUP BY c_nationkey ORDER BY mean_balance DESC, c_nationkey
+        WITH sums AS (
+            SELECT c_nationkey, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) * 100 AS DECIMAL(38, 0)) AS cents,
+                   count(c_acctbal) AS n
+            FROM banked_customers GROUP BY c_nationkey)
+        SELECT c_nationkey, signum(cents) * ((2 * abs(cents) + n) div (2 * n)) / 100 AS mean_balance
+        FROM sums ORDER BY mean_balance DESC, c_nationkey
     """)
 
 

@@ -123,3 +123,11 @@ def test_wide_slices_are_cut_again(table, rows, most):
 def test_seeded_split_by_spark(spark):
     a, b = splits.random_split(spark.range(1000), [0.7, 0.3], 5)
     assert a.count() + b.count() == 1000 and 600 < a.count() < 800
+
+
+def test_a_null_key_is_held_out_too(spark):
+    rows = [(None, i) for i in range(6)] + [(1, i) for i in range(10, 13)]
+    df = spark.createDataFrame(rows, "user int, id int")
+    held = splits.leave_n_out(df, ["user"], ["id"], 1, 2).where("part = 'test'")
+    assert sorted(r.id for r in held.collect()) == [0, 1, 10, 11]
+    assert splits.leave_n_out(df, ["user"], ["id"], 1, 2).columns == ["user", "id", "part"]
