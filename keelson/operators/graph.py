@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from keelson.operators.positions import running
-from keelson.session import work_dir
+from keelson.session import keep, work_dir
 
 
 def edges(adjacency: DataFrame) -> DataFrame:
@@ -44,13 +44,9 @@ def adjacency(edge_table: DataFrame, width: int = 4096) -> DataFrame:
     holds the neighbours of ranks ``c * width`` up to ``(c + 1) * width``. Only vertices that may be
     that wide are ranked, over ranges, so that a vertex with a third of all edges fills many tasks.
     """
-    spark = edge_table.sparkSession
-    root = work_dir(spark, "adjacency")
-    edge_table.select("src", "dst").write.parquet(f"{root}/edges")
-    stored = spark.read.schema(edge_table.select("src", "dst").schema).parquet(f"{root}/edges")
+    stored = keep(edge_table.select("src", "dst"), "edges")
     listed = stored.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > width).select("src")
-    listed.write.parquet(f"{root}/wide")
-    wide = spark.read.schema(listed.schema).parquet(f"{root}/wide")
+    wide = keep(listed, "wide-vertices")
     collect = F.sort_array(F.collect_set("dst")).alias("connections")
     narrow = stored.join(wide, "src", "left_anti").groupBy(F.col("src").alias("id")).agg(collect)
     ranked = running(stored.join(wide, "src", "left_semi").distinct(), ["src"], ["dst"], F.lit(1), "rank")

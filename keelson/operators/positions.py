@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.session import work_dir
+from keelson.session import keep
 
 
 def running(rows: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
@@ -17,12 +17,9 @@ def running(rows: DataFrame, group: Sequence[str], order: Sequence[str], value:
     that a group spreads over as many tasks as it fills. Group and order columns are never null.
     Only rows that agree in all of them are sure to share a range, and which of them is first is open.
     """
-    spark = rows.sparkSession
     valued = rows.withColumn("_value", value)
     ranged = valued.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id())
-    path = work_dir(spark, "ranges")
-    ranged.write.parquet(path)
-    ranged = spark.read.schema(ranged.schema).parquet(path)
+    ranged = keep(ranged, "ranges")
     to_here = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(*to_here)
     # One row for each range and group in it.

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import other_side, safe_ratio
-from keelson.operators.ranking import top_k
+from keelson.operators.ranking import top_k, top_k_per_group
+from keelson.session import keep
 
 # Largest number of items of one user that a work unit pairs with each other. It bounds a
 # unit's memory, not the result: users with more items are split into several units.
@@ -84,6 +85,68 @@ def cosine(pairs: DataFrame, zero: float | None = 0.0) -> DataFrame:
     return pairs.select("item_x", "item_y", safe_ratio(F.col("sum_xy"), norm, zero).alias("score"), "strength")
 
 
+def pair_candidates(ratings: DataFrame, min_score: float, min_strength: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(candidates, head, tail)``: what pairs above both thresholds have in common, but for a few users.
+
+    A pair needs ``t = min_strength + 1`` common users. The ``t // 2`` users of an item who rated most
+    items are its tail, the others its head. In the order of users by ratings, every common user
+    beyond the end of the head that ends first is in that head's tail; so heads share at least
+    ``k = t - t // 2`` users, and at most ``t // 2`` are still missing from the sums over heads. By
+    Cauchy and Schwarz they cannot lift ``xy / p`` above ``(xy + g) / (p + g)``, where ``p`` is the
+    product of the norms so far and ``g`` that of the largest norms that can be missing. Pairs that
+    fail either bound are no candidates. What is quadratic in a user's items is left to heads, which
+    the users with most items are hardly in.
+    """
+    t = min_strength + 1
+    few = t // 2
+    raters = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("raters"), F.max(F.col("rating") * F.col("rating")).alias("peak"))
+    raters = keep(raters.where(F.col("raters") >= t), "raters")
+    rated = ratings.join(raters.select("item"), "item", "left_semi")
+    width = rated.groupBy("user").agg(F.count(F.lit(1)).alias("width"))
+    ranked = keep(rated.join(width, "user"), "ranked-ratings")
+    tail = keep(top_k_per_group(ranked, ["item"], ["-width", "user"], few).select("item", "user", "rating"), "tails")
+    head = keep(ranked.join(tail, ["item", "user"], "left_anti").select("item", "user", "rating"), "heads")
+    shared = item_pairs(head).where(F.col("strength") >= t - few)
+    # One row for each item: the optimizer broadcasts it below its threshold.
+    for side in ("x", "y"):
+        peak = raters.select(F.col("item").alias(f"item_{side}"), F.col("peak").alias(f"peak_{side}"))
+        shared = shared.join(peak, f"item_{side}")
+    p = F.sqrt("sum_xx") * F.sqrt("sum_yy")
+    g = F.sqrt("peak_x") * F.sqrt("peak_y") * few
+    # Room for the rounding of the bound itself.
+    able = F.col("sum_xy") + g >= (min_score - 1e-9) * (p + g)
+    return keep(shared.where(able).drop("peak_x", "peak_y"), "pair-candidates"), head, tail
+
+
+def similar_pairs(
+    ratings: DataFrame, min_score: float = 0.97, min_strength: int = 50, zero: float | None = 0.0
+) -> DataFrame:
+    """The rows of ``cosine`` above both thresholds, without the table of all pairs.
+
+    Candidates come with their sums over the heads of both items; a candidate then meets the tails,
+    ``min_strength`` users of the two at most, and only what it has in common with them is added.
+    """
+    found, head, tail = pair_candidates(ratings, min_score, min_strength)
+    names = ["item_x", "item_y"]
+    pairs = found.select(*names)
+
+    def met(one: str, other: str, theirs: DataFrame) -> DataFrame:
+        """Common users in the tail of side ``one``, and in the given ratings of side ``other``."""
+        mine = tail.select(F.col("item").alias(f"item_{one}"), "user", F.col("rating").alias(one))
+        own = theirs.select(F.col("item").alias(f"item_{other}"), "user", F.col("rating").alias(other))
+        return pairs.join(mine, f"item_{one}").join(own, [f"item_{other}", "user"]).select(*names, "x", "y")
+
+    late = met("x", "y", head.union(tail)).union(met("y", "x", head))
+    x, y = F.col("x"), F.col("y")
+    late = late.select(
+        *names, (x * x).alias("sum_xx"), (x * y).alias("sum_xy"), (y * y).alias("sum_yy"), F.lit(1).cast("bigint").alias("strength")
+    )
+    sums = [F.sum(c).alias(c) for c in ("sum_xx", "sum_xy", "sum_yy", "strength")]
+    whole = found.union(late.select(*found.columns)).groupBy(*names).agg(*sums)
+    scores = cosine(whole.where(F.col("strength") > min_strength), zero)
+    return scores.where(F.col("score") > min_score)
+
+
 def filter_similar(scores: DataFrame, item, min_score: float = 0.97, min_strength: int = 50) -> DataFrame:
     """Pairs of ``cosine`` that touch ``item`` and pass both thresholds, as ``(item, score, strength)``."""
     key = F.lit(item)

@@ -8,7 +8,7 @@ from keelson.functions.logs import DEFAULT_PATTERNS, STRICT_PATTERNS, log_time,
 from keelson.plans.registry import query
 from keelson.session import work_dir
 from keelson.sources import stream_lines, stream_table, table, write_lines
-from keelson.streaming import run_available
+from keelson.streaming import best_per_window, run_available
 from keelson.streaming import status_counts as count_status
 from keelson.streaming import window_counts as count_windows
 
@@ -160,6 +160,46 @@ def stream_url_windows(spark, folder):
     return _utc_times(run_available(counts, name="url_windows"))
 
 
+def _stream_by_time(spark, folder, parts=3):
+    """The log lines as files that arrive in order of the events' times, one for a trigger."""
+    events = table(spark, folder, "events")
+    first, last = events.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp"))), F.max(F.unix_seconds(F.col("ts").cast("timestamp")))).first()
+    path = work_dir(spark, "log-files")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = ((last or 0) - (first or 0)) // parts + 1
+    for i in range(parts):
+        part = events.where(second.between((first or 0) + i * span, (first or 0) + (i + 1) * span - 1))
+        log_lines(part).coalesce(1).write.mode("append").text(path)
+    return stream_lines(spark, path, files_per_trigger=1)
+
+
+CLOSED = {"size": "30 minutes", "slide": "10 minutes"}
+
+
+@query(LOGS_SQL + "," + TIME_SQL + ", windows AS (" + WINDOW_SQL.format(
+    **CLOSED, time="t", key="endpoint", rows="timed"
+) + """)
+    SELECT * FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY n DESC, endpoint) AS INTEGER) AS rank
+        FROM windows WHERE window_end <= (SELECT max(t) - INTERVAL 6 HOUR FROM timed))
+    WHERE rank <= 3
+""")
+def stream_top_urls(spark, folder):
+    """The three busiest endpoints of each closed window, reported once, while the stream goes on."""
+    logs = parse_access_log(_stream_by_time(spark, folder)).withColumn("event_time", log_time(F.col("timestamp")))
+    counts = count_windows(
+        logs.where(F.col("event_time").isNotNull()), time_col="event_time", watermark="6 hours", **CLOSED
+    )
+    return _utc_times(run_available(counts, mode="append", name="top_urls", each=lambda b: best_per_window(b, k=3)))
+
+
+@query(STATUS_SQL)
+def stream_status_updates(spark, folder):
+    """The counts again, from triggers that tell only what they changed."""
+    counts = count_status(parse_access_log(_stream_by_time(spark, folder)))
+    return run_available(counts, mode="update", name="status_updates", keys=["status"])
+
+
 @query(LOGS_SQL + "SELECT endpoint, 3 * count(*) AS n FROM logs GROUP BY endpoint")
 def stream_arrival_windows(spark, folder):
     """Windows over arrival time depend on the clock, but each line always lands in three of them."""

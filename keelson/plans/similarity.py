@@ -94,12 +94,25 @@ def similar_items(spark, folder):
     FROM scores WHERE (item_x = '{ITEM}' OR item_y = '{ITEM}') AND score > {MIN_SCORE} AND strength > {MIN_STRENGTH}
 """)
 def similar_pairs_filter(spark, folder):
-    """The same thresholds applied to the table of all pairs."""
-    scores = sim.cosine(sim.item_pairs(kind_ratings(spark, folder), MIN_STRENGTH))
+    """The pairs above the thresholds, and of them those of one item."""
+    scores = sim.similar_pairs(kind_ratings(spark, folder), MIN_SCORE, MIN_STRENGTH)
     similar = sim.filter_similar(scores, ITEM, MIN_SCORE, MIN_STRENGTH)
     return similar.withColumn("score", F.round("score", 6))
 
 
+PART_SCORE, PART_STRENGTH = 0.9, 3
+
+
+@query("WITH " + RATINGS_SQL.format(item="l_partkey", part="") + f"""
+    SELECT item_x, item_y, round(score, 6) AS score, strength FROM scores
+    WHERE score > {PART_SCORE} AND strength > {PART_STRENGTH}
+""")
+def similar_part_pairs(spark, folder):
+    """Single parts that enough customers bought in like amounts: few of very many pairs."""
+    scores = sim.similar_pairs(part_ratings(spark, folder), PART_SCORE, PART_STRENGTH)
+    return scores.withColumn("score", F.round("score", 6))
+
+
 @query("WITH " + RATINGS_SQL.format(item="l_partkey", part="") + """
     SELECT strength, count(*) AS n_pairs, CAST(sum(xy) AS DOUBLE) AS sum_xy FROM pairs GROUP BY strength
 """)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,3 +53,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="keelson-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def keep(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to a fresh folder of ``work_dir`` and read from there."""
+    path = work_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

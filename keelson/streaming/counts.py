@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators.ranking import top_k_per_group
+
 
 def status_counts(logs: DataFrame, key: str = "status") -> DataFrame:
     """Running count per status; lines without one are counted under NULL."""
@@ -40,3 +42,13 @@ def window_counts(
             "n",
         )
     )
+
+
+def best_per_window(counts: DataFrame, key: str = "endpoint", k: int = 10) -> DataFrame:
+    """The ``k`` largest counts of each window, ``rank`` from 1, ties to the smaller key.
+
+    For the rows of ``window_counts``, as a batch or as what a trigger in append mode gives: the
+    watermark closes all counts of a window in one trigger, so a window is always whole there.
+    Every task trims its windows to ``k`` rows first.
+    """
+    return top_k_per_group(counts, ["window_start", "window_end"], ["-n", key], k)

@@ -1,10 +1,13 @@
+import os
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from keelson.functions.logs import STRICT_PATTERNS, log_time, parse_access_log
 from keelson.session import work_dir
 from keelson.sources import stream_lines
-from keelson.streaming import run_available, start_console, status_counts, window_counts
+from keelson.streaming import best_per_window, run_available, start_console, status_counts, window_counts
 
 OK = '10.0.0.1 - - [29/Nov/2015:03:50:05 -0500] "GET /x HTTP/1.1" 200 51'
 EAST = '10.0.0.1 - - [29/Nov/2015:03:50:05 +0000] "GET /x HTTP/1.1" 404 -'
@@ -91,12 +94,68 @@ def test_console_sink(spark, log_folder, capfd):
     assert query.awaitTermination(120) and query.exception() is None
 
 
-def test_update_mode_is_refused(spark, tmp_path):
+def test_modes_without_a_table_are_refused(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")
-    stream = spark.readStream.text(str(tmp_path / "in"))
-    with pytest.raises(ValueError, match="update"):
-        run_available(stream.groupBy("value").count(), mode="update")
+    counts = spark.readStream.text(str(tmp_path / "in")).groupBy("value").count()
+    with pytest.raises(ValueError, match="keys"):
+        run_available(counts, mode="update")
+    with pytest.raises(ValueError, match="other"):
+        run_available(counts, mode="other")
+
+
+def test_updates_give_the_complete_table(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i, text in enumerate(("a\nb\n", "a\n\n", "c\nb\n")):
+        (source / f"{i}.txt").write_text(text)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))
+    counts = stream.select(F.nullif("value", F.lit("")).alias("value")).groupBy("value").count()
+    complete = run_available(counts)
+    found = run_available(counts, mode="update", keys=["value"])
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in complete.collect()}
+    assert {tuple(r) for r in found.collect()} == {("a", 2), ("b", 2), ("c", 1), (None, 1)}
+
+
+def test_a_replayed_trigger_changes_nothing(spark, tmp_path):
+    """Also after the trigger has been written, and with the snapshot that came before it."""
+    from keelson.streaming.runs import triggers, write_trigger
+
+    path = str(tmp_path / "result")
+    parts = [[("a", 1), ("b", 1), (None, 1)], [("a", 2), (None, 5)], [("c", 1), ("b", 7)]]
+    frames = [spark.createDataFrame(p, "k string, n int") for p in parts]
+    for trigger in (0, 1, 1, 2, 2):
+        write_trigger(frames[trigger], trigger, path, "update", ["k"])
+        kept = triggers(spark, path)
+        assert kept == list(range(max(0, trigger - 1), trigger + 1))
+    rows = spark.read.parquet(f"{path}/trigger=2").collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted([("a", 2), ("b", 7), ("c", 1), (None, 5)], key=repr)
+
+
+def test_closed_windows_report_their_best_once(spark, tmp_path):
+    """Over three triggers: each window once, in the trigger that closes it, with all of its counts."""
+    source = tmp_path / "in"
+    source.mkdir()
+    hits = [(60 * i + j, f"/{(i * j) % 4}") for i in range(30) for j in range(12)]
+    for n in range(3):
+        part = hits[n * 120 : (n + 1) * 120]
+        (source / f"{n}.txt").write_text("".join(f"{t} {url}\n" for t, url in part))
+        os.utime(source / f"{n}.txt", (1_000_000 + n, 1_000_000 + n))
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))
+    cut = F.split("value", " ")
+    hit = stream.select(F.timestamp_seconds(cut[0].cast("int")).alias("t"), cut[1].alias("endpoint"))
+    counts = window_counts(hit, time_col="t", size="2 minutes", slide="1 minute", watermark="3 minutes")
+    found = run_available(counts, mode="append", each=lambda b: best_per_window(b, k=2))
+    assert len(found.select(F.input_file_name()).distinct().collect()) > 1
+    got = {(r.window_end.timestamp(), r["rank"]): (r.endpoint, r.n) for r in found.collect()}
+    assert len(got) == found.count()
+    want = {}
+    for end in range(60, 60 * 31 + 1, 60):
+        inside = Counter(url for t, url in hits if end - 120 <= t < end)
+        if inside and end <= hits[-1][0] - 180:
+            for rank, (url, n) in enumerate(sorted(inside.items(), key=lambda x: (-x[1], x[0]))[:2], 1):
+                want[end, rank] = (url, n)
+    assert got == want
 
 
 def test_only_the_last_trigger_is_kept(spark, tmp_path):
@@ -109,6 +168,4 @@ def test_only_the_last_trigger_is_kept(spark, tmp_path):
     assert {tuple(r) for r in found.collect()} == {("a", 2), ("b", 3)}
     (path,) = found.inputFiles()[:1]
     folder = path.split("/trigger=")[0].removeprefix("file://")
-    import os
-
     assert [x for x in os.listdir(folder) if not x.startswith(".")] == ["trigger=2"]

@@ -93,3 +93,33 @@ def test_repeated_ratings_count_once(spark):
     ratings = table(spark, [(1, "a", 2.0), (1, "a", 4.0), (1, "b", 3.0), (None, "b", 1.0), (2, None, 1.0)])
     unique = sim.unique_ratings(ratings)
     assert sorted(tuple(r) for r in unique.collect()) == [(1, "a", 4.0), (1, "b", 3.0)]
+
+
+@pytest.mark.parametrize("least", [0, 1, 2, 5, 8])
+def test_pairs_above_thresholds(spark, rows, least):
+    ratings = table(spark, floats(rows) + [(u, "z", 0.0) for u in range(30)])
+    want = {
+        k: (xy / math.sqrt(xx * yy), n) for k, (xx, xy, yy, n) in brute(rows).items() if xx and yy
+    }
+    for score in (0.5, 0.9):
+        got = {(r.item_x, r.item_y): (r.score, r.strength) for r in sim.similar_pairs(ratings, score, least).collect()}
+        assert set(got) == {k for k, (s, n) in want.items() if s > score and n > least}
+        for k, (s, n) in got.items():
+            assert n == want[k][1] and math.isclose(s, want[k][0])
+
+
+def test_few_pairs_are_candidates(spark):
+    """Everybody rated many items, but only items of one group by the same users."""
+    rng = random.Random(9)
+    rated = []
+    for user in range(120):
+        group = user % 6
+        rated += [(user, f"g{group}-{i}", float(rng.randint(3, 5))) for i in range(8)]
+        rated += [(user, f"x{i}", float(rng.choice([1, 5]))) for i in rng.sample(range(150), 30)]
+    ratings = table(spark, rated)
+    every = sim.item_pairs(ratings).count()
+    found, _, _ = sim.pair_candidates(ratings, 0.9, 9)
+    passed = sim.similar_pairs(ratings, 0.9, 9).count()
+    scores = sim.cosine(sim.item_pairs(ratings))
+    assert passed == scores.where("score > 0.9 AND strength > 9").count() > 100
+    assert passed <= found.count() < every / 5
