@@ -36,6 +36,7 @@ AFTER = {
 }
 #: The role that a reroled or inserted turn takes in a state.
 NEXT = {START: "user", SYSTEM: "user", USER: "assistant", ASSISTANT: "user"}
+FOLLOWS = {state: AFTER[state, role[0]] for state, role in NEXT.items()}
 #: Costs of the edits; an undeleted truncated turn adds the last.
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 SOUND, BLANK, DUPLICATE, CUT = range(4)
@@ -89,42 +90,40 @@ def _faulty(rows: DataFrame) -> DataFrame:
     )
 
 
-def _bounds(rows: list[tuple[str, int]]) -> list[int]:
-    """From below, for each suffix of ``(initial, fault)``: what it costs at least after a first turn.
+def _bounds(rows: list[tuple[str, int]], end: int) -> list[list[int]]:
+    """For each suffix of ``(initial, fault)`` and state: what leads to ``end`` costs at least that.
 
-    A turn costs its cheapest edit, and two neighbours with one initial cost an edit between them.
+    The bound looks at costs alone, from the last row back, and not at the lists of edits.
     """
-    low = [0] * (len(rows) + 2)
-    for i in range(len(rows) - 1, -1, -1):
-        initial, fault = rows[i]
-        own = min(DELETE, TRUNCATED) if fault == CUT else DELETE if fault else KEEP if initial in "ua" and initial else REROLE
-        low[i] = own + low[i + 1]
-        if i + 1 < len(rows) and rows[i + 1] == rows[i] and own == 0:
-            low[i] = max(low[i], REROLE + low[i + 2])
-    return low
-
-
-def cheapest(rows: list[tuple[str, int]], start: int, end: int) -> tuple[int, str] | None:
+    low = [[0 if s == end else FAR for s in range(4)]]
+    for initial, fault in reversed(rows):
+        behind, here = low[-1], []
+        for state in range(4):
+            least = DELETE + behind[state]
+            if fault in (SOUND, CUT):
+                more = TRUNCATED if fault == CUT else 0
+                least = min(least, more + REROLE + behind[FOLLOWS[state]])
+                if (state, initial) in AFTER:
+                    least = min(least, more + KEEP + behind[AFTER[state, initial]])
+            here.append(least)
+        for state in (USER, ASSISTANT, USER, SYSTEM, START):
+            here[state] = min(here[state], INSERT + here[FOLLOWS[state]])
+        low.append(here)
+    return low[::-1]
+
+
+def cheapest(rows: list[tuple[str, int]], start: int, end: int, low: list | None = None) -> tuple[int, str] | None:
     """The least ``(cost, edits)`` that lead from state ``start`` over all ``rows`` to state ``end``.
 
     Inserts come before a row; those behind the last row of a conversation are up to the caller.
     """
-    n, low = len(rows), _bounds(rows)
-
-    def bound(at: int, state: int) -> int:
-        if end == START:
-            return DELETE * (n - at) if state == START else FAR
-        if end == SYSTEM:
-            return FAR if state > SYSTEM else DELETE * (n - at - (state == START))
-        # One system turn may still be kept where none was.
-        return low[at] if state else max(0, low[at] - REROLE)
-
+    n, low = len(rows), _bounds(rows, end) if low is None else low
     best: tuple[int, str] | None = None
     reached: dict[tuple[int, int], tuple[int, str]] = {}
     stack = [(0, start, 0, "")]
     while stack:
         at, state, cost, audit = stack.pop()
-        least = cost + bound(at, state)
+        least = cost + low[at][state]
         if least >= FAR or best is not None and (least, audit) > (best[0], best[1][: len(audit)]):
             continue
         old = reached.get((at, state))
@@ -136,7 +135,7 @@ def cheapest(rows: list[tuple[str, int]], start: int, end: int) -> tuple[int, st
                 best = (cost, audit)
             continue
         initial, fault = rows[at]
-        follows = AFTER[state, NEXT[state][0]]
+        follows = FOLLOWS[state]
         children = [(at + 1, state, cost + DELETE, audit + "D"), (at, follows, cost + INSERT, audit + "I")]
         if fault in (SOUND, CUT):
             more = cost + (TRUNCATED if fault == CUT else 0)
@@ -144,7 +143,7 @@ def cheapest(rows: list[tuple[str, int]], start: int, end: int) -> tuple[int, st
                 children.append((at + 1, AFTER[state, initial], more + KEEP, audit + "K"))
             children.append((at + 1, follows, more + REROLE, audit + "R"))
         # The most promising is on top of the stack, of equal ones the least as text.
-        stack += sorted(children, key=lambda x: (x[2] + bound(x[0], x[1]), x[3]), reverse=True)
+        stack += sorted(children, key=lambda x: (x[2] + low[x[0]][x[1]], x[3]), reverse=True)
     return best
 
 
@@ -175,9 +174,10 @@ def _solved(rows: list[dict], begins: bool) -> dict:
     pairs = sum(a[0] + b[0] not in LEGAL for a, b in zip(flat, flat[1:]))
     turns = [r["_turn"] for r in rows if r["_dated"]]
     ways = []
-    for start in (START,) if begins else range(4):
-        for end in range(4):
-            found = cheapest(flat, start, end)
+    for end in range(4):
+        low = _bounds(flat, end)
+        for start in (START,) if begins else range(4):
+            found = cheapest(flat, start, end, low)
             if found is None:
                 continue
             cost, letters = found[0] + DELETE * extra, iter(found[1])
@@ -286,7 +286,7 @@ def _edited(audit: Iterator[str], state: int, row: dict | None) -> Iterator[tupl
     """``(edit, state after it, role, text)`` up to the edit that takes ``row``, or of all that is left."""
     for letter in audit:
         if letter == "I":
-            state = AFTER[state, NEXT[state][0]]
+            state = FOLLOWS[state]
             yield letter, state, "user" if state == USER else "assistant", ""
             continue
         if letter == "D":
