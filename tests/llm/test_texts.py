@@ -337,6 +337,48 @@ def test_substrings_against_brute_force(spark, monkeypatch, together):
     assert got == brute_cut(texts, 70)
 
 
+@pytest.mark.parametrize("together", [64, 3])
+def test_substrings_of_crowded_anchors(spark, monkeypatch, together):
+    """A passage in many texts: its borders share an anchor, and parts of it end at many places."""
+    monkeypatch.setattr(substrings, "TOGETHER", together)
+    draw = random.Random(8)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage = letters(150)
+    texts = [(i, letters(60) + passage[draw.choice([0, 0, 5, 30]) : draw.choice([150, 150, 149, 120, 90])] + letters(60))
+             for i in range(260)]
+    texts += [(1000 + i, texts[i % 7][1][draw.randint(0, 9) :]) for i in range(30)]
+    found = substrings.cut_repeats(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4), 70)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect())
+    assert got == brute_cut(texts, 70)
+
+
+def test_rows_of_crowded_anchors_grow_in_proportion(spark, monkeypatch):
+    """Past the bound on a lot, a border makes a few rows and not one for every window."""
+    draw = random.Random(12)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(300))
+    noise = lambda: "".join(draw.choice("ijklmnop ") for _ in range(220))
+    texts = [(i, noise() + passage + noise()) for i in range(500)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    monkeypatch.setattr(substrings, "TOGETHER", 400)
+    seen = []
+    stored = substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda df, label: [stored(df, label), seen.append(label)][0])
+    rows = substrings.repeated_windows(docs, 200)
+    assert "halved-lots" in seen
+    assert rows.count() < 30 * len(texts)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                 for r in substrings.cut_repeats(docs, 200).collect())
+    assert got == brute_cut(texts, 200)
+
+
+def test_rows_of_a_constant_text(spark):
+    texts = [(1, " " * 300_000), (2, "ab" * 100_000), (3, " " * 900)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert substrings.runs(substrings.keyed(docs).select("_null", "_id", "_hash", "row.text"), 200).count() < 10
+    removed = {r.doc_id: r.n_removed for r in substrings.cut_repeats(docs, 200).collect()}
+    assert removed == {1: 300_000, 2: 200_000, 3: 900}
+
+
 def test_substrings_on_odd_rows(odd, empty):
     found = substrings.cut_repeats(odd, 200).collect()
     short = [(d, t) for d, t in TEXTS if d not in (6, 7)]
