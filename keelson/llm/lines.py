@@ -4,22 +4,32 @@ The window of a line holds it and all lines that start within the next ``min_cha
 a window that the text's end cuts short does not count. The line with the smallest hash in a window
 is its fingerprint. Equal windows have equal fingerprints, so a repeated run of ``min_chars``
 characters or more always shows a repeated fingerprint. Only positions with such fingerprints are
-compared further: a match is extended to all windows that hold the position, before and after it,
-and a window whose lines occurred earlier is deleted, line by line.
+compared further. A window whose lines occurred before is joined to their first occurrence, and the
+match is extended line by line to both sides while lines are equal, up to the texts' ends; the whole
+later run is deleted.
+
+Most of that costs no further pass. Before a matched window every equal line starts a window that
+lies in the match, and so is matched itself. Behind the last equal window of a match the equal lines
+all start within ``min_chars`` characters of the next line: each position brings their hashes along.
+Only where the next window first occurred elsewhere has the match to be followed, by joins that
+double their reach, until it ends or a window is joined to the same text again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import KEY, keyed, stored
 
 
 def windows(rows: DataFrame, min_chars: int) -> DataFrame:
-    """Per line that starts a whole window: ``_id, _hash, line, last, mark, mark_line, run``.
+    """Per line that starts a whole window: ``_id, _hash, line, last, mark, mark_line, run, next``.
 
-    ``mark`` is the fingerprint, ``run`` the hash of the window's lines.
+    ``mark`` is the fingerprint, ``run`` the hash of the window's lines, ``next`` the hashes of the
+    next line and of those that start within ``min_chars`` characters of it.
     """
     lines = rows.select(*KEY, F.posexplode_outer(F.split("row.text", "\n", -1)).alias("line", "value")).select(
         *KEY, "line", F.xxhash64("value").alias("h"), (F.length("value") + 1).cast("bigint").alias("size")
@@ -28,23 +38,76 @@ def windows(rows: DataFrame, min_chars: int) -> DataFrame:
     placed = lines.withColumn("end", F.sum("size").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.withColumn("start", F.col("end") - F.col("size"))
     ahead = Window.partitionBy(*KEY).orderBy("start").rangeBetween(0, min_chars - 1)
-    return placed.select(
+    seen = placed.select(
         *KEY,
         "line",
         "start",
         F.last("line").over(ahead).alias("last"),
         F.last("end").over(ahead).alias("stop"),
         F.min(F.struct("h", "line")).over(ahead).alias("low"),
-        F.xxhash64(F.collect_list("h").over(ahead)).alias("run"),
-    ).where(F.col("stop") >= F.col("start") + min_chars).select(
-        *KEY, "line", "last", F.col("low.h").alias("mark"), F.col("low.line").alias("mark_line"), "run"
+        F.collect_list("h").over(ahead).alias("hashes"),
+    )
+    seen = seen.withColumn("next", F.lead("hashes").over(Window.partitionBy(*KEY).orderBy("start")))
+    return seen.where(F.col("stop") >= F.col("start") + min_chars).select(
+        *KEY, "line", "last", F.col("low.h").alias("mark"), F.col("low.line").alias("mark_line"),
+        F.xxhash64("hashes").alias("run"), F.coalesce("next", F.array().cast("array<bigint>")).alias("next"),
+    )
+
+
+def _equal(a: str, b: str) -> Column:
+    """How many leading entries two arrays have in common."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(differ > 0, differ - 1).otherwise(F.greatest(F.size(a), F.size(b))).cast("int")
+
+
+def _followed(matches: DataFrame, near: DataFrame) -> DataFrame:
+    """``_null, _id, _hash, line`` and ``s_null, s_id, s_hash, there``: the last equal windows of matches
+    that go on past windows which first occurred elsewhere.
+
+    A walker stands at a window (``line``) that equals one at ``there`` of the text it was matched
+    with, and looks at the next ones, twice as many in each round.
+    """
+    theirs = [f"s{c}" for c in KEY]
+    after = Window.partitionBy(*KEY).orderBy("line")
+    ahead = matches.withColumns({"ahead": F.lead("line").over(after), "of": F.lead("first").over(after)})
+    own = F.struct(*(F.col(f"first.{c}") for c in KEY), (F.col("first.line") + 1).alias("line"))
+    other = F.struct(*(F.col(f"of.{c}") for c in KEY), F.col("of.line").alias("line"))
+    leaves = (F.col("ahead") == F.col("line") + 1) & (F.col("next") == F.col("first.next")) & (own != other)
+    walkers = ahead.where(leaves).select(
+        *KEY, F.col("ahead").alias("line"), *(F.col(f"first.{c}").alias(t) for c, t in zip(KEY, theirs, strict=True)),
+        (F.col("first.line") + 1).alias("there"),
+    )
+    walkers, reach, ends = stored(walkers, "walkers"), 1, []
+    mine = matches.select(*KEY, F.col("line").alias("at"), F.col("run").alias("run_here"), "first")
+    near = near.select(
+        *(F.col(c).alias(t) for c, t in zip(KEY, theirs, strict=True)), F.col("line").alias("at_there"), F.col("run").alias("run_there")
     )
+    while not walkers.isEmpty():
+        steps = walkers.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(reach)))).withColumns(
+            {"at": F.col("line") + F.col("k"), "at_there": F.col("there") + F.col("k")}
+        )
+        seen = steps.join(mine, [*KEY, "at"], "left").join(near, [*theirs, "at_there"], "left")
+        back = F.struct(*(F.col(f"first.{c}") for c in KEY), F.col("first.line")) == F.struct(*theirs, "at_there")
+        ok = F.coalesce((F.col("run_here") == F.col("run_there")) & ~back, F.lit(False))
+        walked = stored(
+            seen.groupBy(*KEY, "line", *theirs, "there").agg(F.min(F.when(~ok, F.col("k"))).alias("stop")), "walked"
+        )
+        ended = walked.where("stop IS NOT NULL")
+        ends.append(ended.select(
+            *KEY, (F.col("line") + F.col("stop") - 1).alias("line"), *theirs, (F.col("there") + F.col("stop") - 1).alias("there")
+        ))
+        walkers = walked.where("stop IS NULL").select(
+            *KEY, (F.col("line") + reach).alias("line"), *theirs, (F.col("there") + reach).alias("there")
+        )
+        reach *= 2
+    return reduce(DataFrame.union, ends, walkers)
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     """``_id, _hash, removed``: the sorted numbers of the lines to delete, for documents that have any.
 
-    The first occurrence, by document id (null last), text hash and line, stays.
+    The first occurrence, by document id (null last), text hash and line, stays. Every deleted line
+    equals one that comes before it in this order, so no line is lost from all texts.
     """
     found = stored(windows(keyed(docs.select("doc_id", "text")).where("row.text IS NOT NULL"), min_chars), "line-windows")
     position = F.struct(*KEY, "mark_line")
@@ -52,11 +115,16 @@ def repeated_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     marks = found.groupBy("mark").agg(F.min(position).alias("a"), F.max(position).alias("b"))
     # Stored, so that the joins have a shuffle on both sides, and their hot partitions are split.
     near = found.join(stored(marks.where("a != b").select("mark"), "line-marks"), "mark", "left_semi")
-    at = F.struct(*KEY, "line")
+    at = F.struct(*KEY, "line", "next")
     runs = near.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("final"))
     again = near.join(stored(runs.where("first != final").select("run", "first"), "line-runs"), "run")
-    again = again.where(at != F.col("first"))
-    cut = again.select(*KEY, F.explode(F.sequence("line", "last")).alias("line"))
+    again = stored(again.where(at != F.col("first")).select(*KEY, "line", "last", "run", "next", "first"), "line-matches")
+    beyond = _followed(again, near)
+    theirs = near.select(*(F.col(c).alias(f"s{c}") for c in KEY), F.col("line").alias("there"), F.col("next").alias("next_there"))
+    ends = beyond.join(again.select(*KEY, "line", "next"), [*KEY, "line"]).join(theirs, [f"s{c}" for c in KEY] + ["there"])
+    late = ends.select(*KEY, "line", (F.col("line") + _equal("next", "next_there")).alias("till"))
+    till = F.greatest(F.col("last"), F.col("line") + _equal("next", "first.next")).alias("till")
+    cut = again.select(*KEY, "line", till).union(late).select(*KEY, F.explode(F.sequence("line", "till")).alias("line"))
     return cut.groupBy(*KEY).agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
@@ -66,7 +134,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
 
     A null text stays null with no lines. An empty text has one empty line. A wholly repeated row
     shares its id and text with the first, so it is the same document and keeps the same lines.
-    A text all of whose lines go becomes empty. An empty table gives an empty one.
+    A text all of whose lines go becomes empty, very long texts are taken whole, other columns are
+    only passed on. An empty table gives an empty one.
     """
     # The lines are cut before the join: after it they are a column, which the lambda only slices.
     rows = keyed(docs).withColumn("lines", F.split("row.text", "\n", -1))

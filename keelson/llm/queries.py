@@ -76,11 +76,23 @@ LINES_SQL = f"""
                string_agg(value, chr(10)) OVER ahead AS run
         FROM placed
         WINDOW ahead AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND {MIN_CHARS - 1} FOLLOWING)),
-    ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS nth
-        FROM runs WHERE till >= start + {MIN_CHARS}),
-    cut AS (
-        SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS line FROM ranked WHERE nth > 1),
+    -- Every later window beside the first one with the same lines.
+    met AS (
+        SELECT doc_id, line, first_value(doc_id) OVER earliest AS first_id, first_value(line) OVER earliest AS first_line,
+               row_number() OVER earliest AS nth
+        FROM runs WHERE till >= start + {MIN_CHARS}
+        WINDOW earliest AS (PARTITION BY run ORDER BY doc_id, line)),
+    matched AS (SELECT doc_id, line, first_id, line - first_line AS ahead FROM met WHERE nth > 1),
+    -- To both sides of a match: all equal lines of the two texts in that position, in rows without a gap.
+    aligned AS (SELECT DISTINCT doc_id, first_id, ahead FROM matched),
+    equal AS (
+        SELECT p.doc_id, p.first_id, p.ahead, a.line,
+               a.line - row_number() OVER (PARTITION BY p.doc_id, p.first_id, p.ahead ORDER BY a.line) AS island
+        FROM aligned p JOIN lines a ON a.doc_id = p.doc_id
+             JOIN lines b ON b.doc_id = p.first_id AND b.line = a.line - p.ahead AND b.value = a.value),
+    gone AS (
+        SELECT DISTINCT doc_id, first_id, ahead, island FROM equal JOIN matched USING (doc_id, first_id, ahead, line)),
+    cut AS (SELECT DISTINCT doc_id, line FROM equal JOIN gone USING (doc_id, first_id, ahead, island)),
     kept AS (
         SELECT l.doc_id, string_agg(l.value, chr(10) ORDER BY l.line) AS text, count(*) AS n
         FROM lines l ANTI JOIN cut c ON l.doc_id = c.doc_id AND l.line = c.line GROUP BY l.doc_id)

@@ -91,23 +91,44 @@ def test_component_of_a_long_path(spark):
 
 
 def brute_lines(texts, least):
-    """Windows in order of document, text hash aside: ids of the given texts are different or rows repeat."""
+    """Windows in order of document, text hash aside: ids of the given texts are different or rows repeat.
+
+    A window whose lines occurred before is joined to their first occurrence, and extended by equal lines.
+    """
     order = sorted({(d is None, d or 0, t) for d, t in texts if t is not None})
-    windows = []
+    split = {key: key[2].split("\n") for key in order}
+    seen, gone = {}, defaultdict(set)
     for key in order:
-        parts = key[2].split("\n")
+        parts = split[key]
         ends = np.cumsum([len(p) + 1 for p in parts])
         for i in range(len(parts)):
             start = ends[i] - len(parts[i]) - 1
             last = max(j for j in range(len(parts)) if ends[j] - len(parts[j]) - 1 < start + least)
-            if ends[last] >= start + least:
-                windows.append((key, i, last, tuple(parts[i : last + 1])))
-    seen, gone = set(), defaultdict(set)
-    for key, i, last, run in windows:
-        if run in seen:
-            gone[key] |= set(range(i, last + 1))
-        seen.add(run)
-    return {k: "\n".join(p for i, p in enumerate(k[2].split("\n")) if i not in gone[k]) for k in order}
+            if ends[last] < start + least:
+                continue
+            first, at = seen.setdefault(tuple(parts[i : last + 1]), (key, i))
+            if (first, at) == (key, i):
+                continue
+            theirs = split[first]
+            for step in (1, -1):
+                a, b = i, at
+                while 0 <= a < len(parts) and 0 <= b < len(theirs) and parts[a] == theirs[b]:
+                    gone[key].add(a)
+                    a, b = a + step, b + step
+    return {k: "\n".join(p for i, p in enumerate(split[k]) if i not in gone[k]) for k in order}
+
+
+def test_matched_lines_are_extended(spark):
+    body, other = "x" * 47, "y" * 47
+    texts = [
+        (1, f"{body}\nLes."), (2, f"{body}\nLes."),  # a last line too short for a window of its own
+        (3, f"Own line.\n{body}\nLes.\nother"), (4, f"a\nb\n{other}\n\n\nc"), (5, f"b\n{other}\n\n\nd"),
+    ]
+    found = lines.dedup_lines(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    got = {r.doc_id: r.text for r in found.select("row.*").collect()}
+    assert got == {1: texts[0][1], 2: "", 3: "Own line.\nother", 4: texts[3][1], 5: "d"}
+    want = brute_lines(texts, 48)
+    assert got == {d: want[False, d, t] for d, t in texts}
 
 
 def test_lines_on_odd_rows(odd, empty):
