@@ -111,17 +111,24 @@ def op8_line_dedup(spark, folder):
     return found.select("row.doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
 
 
-SHINGLES_SQL = """
-    SELECT {id}, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS shingle
-    FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
-          FROM {table})
-"""
+WORDS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 
 
 @query(f"""
-    WITH items AS (SELECT DISTINCT * FROM ({SHINGLES_SQL.format(id="item_id", table="benchmark")})),
-    held AS (SELECT DISTINCT * FROM ({SHINGLES_SQL.format(id="doc_id", table="documents")})
-             WHERE shingle IN (SELECT shingle FROM items)),
+    WITH item_words AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+    doc_words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    -- An item with fewer words than a shingle is its own only shingle.
+    lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM item_words WHERE len(w) > 0),
+    items AS (
+        SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+                   lambda i: array_to_string(w[i : i + least(len(w), 5) - 1], ' '))) AS shingle
+        FROM item_words WHERE len(w) > 0),
+    held AS (
+        SELECT DISTINCT * FROM (
+            SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2),
+                       lambda i: array_to_string(w[i : i + k - 1], ' '))) AS shingle
+            FROM doc_words, lengths WHERE len(w) >= k)
+        WHERE shingle IN (SELECT shingle FROM items)),
     sizes AS (SELECT item_id, count(*) AS item_shingles FROM items GROUP BY item_id)
     SELECT doc_id, item_id, item_shingles, count(*) AS found, count(*) / item_shingles AS containment
     FROM held JOIN items USING (shingle) JOIN sizes USING (item_id)

@@ -514,3 +514,19 @@ def test_toxicity_held_out(spark):
     toxic = [r for r in found if r.toxic]
     assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
     assert sum(r.predicted for r in found if not r.toxic) <= 0.02 * len(found)
+
+
+def test_short_items_are_found(spark, odd):
+    rows = [(7, "Fox JUMPS over"), (8, "river"), (9, "fox over"), (9, "dog near the river"), (10, "jumps over the lazy dog")]
+    short = spark.createDataFrame(rows, "item_id bigint, text string")
+    found = collected(contamination.contained(odd, short).select(key_id(), "item_id", "item_shingles", "found"))
+    assert found == sorted(((d, i, 1, 1) for d in (1, 2) for i in (7, 8, 9, 10)), key=repr)
+    assert {r.doc_id for r in contamination.without_contaminated(odd, short).collect()}.isdisjoint({1, 2})
+
+
+def test_many_secrets_in_a_text(spark):
+    """Positions add up over blocks, and in time that grows with the matches."""
+    texts = [(n, " ".join(f"é{i:030x}" if i % 3 else "key AKIA" + "Q" * 20 for i in range(n))) for n in (127, 128, 129, 20_000)]
+    found = secret_scan.scan(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    for r in found.select("row.*", "found").collect():
+        assert [tuple(x) for x in r.found] == secret_scan.brute(r.text)
