@@ -53,6 +53,8 @@ MORE = [
 
 #: Limits of the derivation. Beyond them a constraint is left out, which only widens the query.
 ALTERNATIVES = 64
+#: Matches whose positions are summed up in one array.
+BLOCK = 128
 
 
 def _exact(node) -> set[str] | None:
@@ -142,43 +144,67 @@ def candidates(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     return whole.groupBy(*KEY).agg(F.collect_set("kind").alias("kinds"))
 
 
-def spans(text: Column, rule: Rule, order: int) -> Column:
-    """The matches of one rule: an array of ``(start, order, kind, end)``, code points, end exclusive.
+def steps(text: Column, rule: Rule) -> Column:
+    """The matches of one rule in turn: ``gap`` before it, its ``own`` length and the ``counted`` one.
 
-    Java's regex gives the matches and, by splitting, what lies between them; their lengths in turn
-    sum up to the positions.
+    Java's regex gives the matches and, by splitting, what lies between them.
     """
     pattern = F.lit(rule.pattern)
     size = lambda parts: F.transform(parts, lambda x: F.length(x))
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     counted = whole if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    steps = F.arrays_zip(
+    zipped = F.arrays_zip(
         size(F.split(text, rule.pattern, -1)).alias("gap"), size(whole).alias("own"), size(counted).alias("counted")
     )
+    return F.when(text.rlike(rule.pattern), F.filter(zipped, lambda x: x["own"].isNotNull()))
+
+
+def spans(found: str, rule: Rule, order: int) -> Column:
+    """``(start, order, kind, end)`` of the ``steps`` of a rule that are long enough: code points, end exclusive.
+
+    Lengths in turn sum up to the positions. An array that grows is copied at every entry, so sums run
+    in blocks of ``BLOCK``, from what the blocks before them add up to: time grows with the matches,
+    and with the square of the blocks alone. ``found`` is a stored column, as lambdas refer to it.
+    """
     none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
-    made = F.aggregate(
-        F.filter(steps, lambda x: x["own"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["own"]).alias("at"),
-            F.when(
-                x["counted"] >= rule.least,
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + x["gap"]).alias("start"),
-                            F.lit(order).alias("order"),
-                            F.lit(rule.kind).alias("kind"),
-                            (acc["at"] + x["gap"] + x["own"]).alias("end"),
-                        )
-                    ),
-                ),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
+    number = F.sequence(F.lit(0), F.expr(f"CAST(greatest(size({found}) - 1, 0) div {BLOCK} AS INT)"))
+    blocks = F.transform(number, lambda j: F.slice(F.col(found), j * BLOCK + 1, F.lit(BLOCK)))
+    length = lambda x: x["gap"] + x["own"]
+    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda at, x: at + length(x)))
+    begins = F.aggregate(
+        totals,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
         lambda acc: acc["out"],
     )
-    return F.when(text.rlike(rule.pattern), made).otherwise(none)
+
+    def placed(block: Column, begin: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(begin.alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + length(x)).alias("at"),
+                F.when(
+                    x["counted"] >= rule.least,
+                    F.concat(
+                        acc["out"],
+                        F.array(
+                            F.struct(
+                                (acc["at"] + x["gap"]).alias("start"),
+                                F.lit(order).alias("order"),
+                                F.lit(rule.kind).alias("kind"),
+                                (acc["at"] + length(x)).alias("end"),
+                            )
+                        ),
+                    ),
+                ).otherwise(acc["out"]).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    each = F.arrays_zip(blocks.alias("block"), begins.alias("begin"))
+    whole = F.flatten(F.transform(each, lambda z: placed(z["block"], z["begin"])))
+    return F.when(F.col(found).isNotNull(), whole).otherwise(none)
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -193,14 +219,15 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     joined = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
     if indexed:
         joined = rows.join(candidates(rows.select(*KEY, "text"), indexed), list(KEY), "left")
-    none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
-    parts = [
-        F.when(F.array_contains("kinds", rule.kind), spans(F.col("text"), rule, i)).otherwise(none)
+    held = [
+        F.when(F.array_contains("kinds", rule.kind), steps(F.col("text"), rule))
         if rule in indexed
-        else spans(F.col("text"), rule, i)
-        for i, rule in enumerate(rules)
+        else steps(F.col("text"), rule)
+        for rule in rules
     ]
-    return joined.select("row", F.sort_array(F.flatten(F.array(*parts))).alias("found"))
+    told = joined.select("row", *(column.alias(f"_steps{i}") for i, column in enumerate(held)))
+    parts = [spans(f"_steps{i}", rule, i) for i, rule in enumerate(rules)]
+    return told.select("row", F.sort_array(F.flatten(F.array(*parts))).alias("found"))
 
 
 def brute(text: str | None, rules: list[Rule] | None = None) -> list[tuple[int, int, str, int]]:
