@@ -310,21 +310,62 @@ def test_scores_on_odd_rows(spark, odd, empty):
     assert {r.train_tokens for r in suffix_tree.score(odd.where("doc_id = 1"), held_out(1, 0)).collect()} == {0}
 
 
-def test_tree_is_a_distribution_and_helps(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
-    vocab = suffix_tree.vocabulary(docs).cache()
-    alphabet = suffix_tree.Alphabet(vocab)
-    assert alphabet.base.sum() == pytest.approx(1)
-    rows = suffix_tree.encoded(docs, alphabet, held_out(7, 3)).cache()
-    tree = suffix_tree.grow(rows, alphabet, contexts=512)
-    assert len(tree.rows) > 5 and np.allclose(np.array(tree.rows).sum(1), 1)
-    # States agree with a search for the longest retained suffix.
-    x = np.frombuffer(rows.first()["symbols"], "<u2").astype(np.int64)[:300]
-    for at, state in enumerate(tree.states(x).tolist()):
-        fit = [tree.lookup[c] for c in (tuple(x[at - k : at]) for k in (1, 2, 3) if k <= at) if c in tree.lookup]
-        assert state == (fit[-1] if fit else 0)
-    found = suffix_tree.score(docs, held_out(7, 2)).where("held_out").collect()
-    assert sum(r.score for r in found) > sum(r.base_score for r in found)
+def brute_tree(texts, base, depth, least, divergence, smoothing):
+    """Retained contexts and their distributions, one context after the other."""
+    follow = defaultdict(Counter)
+    for x in texts:
+        for i in range(len(x)):
+            for d in range(1, min(depth, i) + 1):
+                follow[tuple(x[i - d : i])][x[i]] += 1
+    tree = {(): list(base)}
+
+    def longest(context):
+        return next(tree[context[i:]] for i in range(len(context) + 1) if context[i:] in tree)
+
+    for context in sorted(follow, key=len):
+        seen, t = follow[context], sum(follow[context].values())
+        if t < least:
+            continue
+        parent = longest(context[1:])
+        gain = sum(n / t * math.log(n / t / parent[s]) for s, n in seen.items())
+        free = max(1, len(seen) - 1)
+        if gain >= divergence and 2 * t * gain >= free + 3 * math.sqrt(2 * free):
+            tree[context] = [(seen[s] + smoothing * q) / (t + smoothing) for s, q in enumerate(parent)]
+    return tree, longest
+
+
+@pytest.mark.parametrize("small", [1 << 20, 0])
+def test_scores_against_brute_force(spark, small):
+    """Both ways of scoring, the broadcast and the joins."""
+    draw = random.Random(11)
+    pool = [" ".join(draw.choice("the cat dog sat on mat by a red old".split()) for _ in range(4)) for _ in range(12)]
+    texts = [(i, " ".join(draw.choice(pool) for _ in range(draw.randint(0, 12)))) for i in range(120)] + [(200, None), (201, "mat")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    held = held_out(7, 2)
+    found = {r.doc_id: r for r in suffix_tree.score(docs, held, least=6, small=small).collect()}
+    alphabet = suffix_tree.Alphabet(suffix_tree.vocabulary(docs.where(~held)))
+    coded = suffix_tree.encoded(docs, alphabet, ~held).collect()
+    symbols = {r.doc_id: np.frombuffer(r.symbols, "<u2").tolist() for r in coded}
+    train = [symbols[r.doc_id] for r in coded if r.train]
+    tree, longest = brute_tree(train, alphabet.base, 3, 6, suffix_tree.DIVERGENCE, suffix_tree.SMOOTHING)
+    assert len(tree) > 10 and {len(c) for c in tree} == {0, 1, 2, 3}
+    assert all(sum(p) == pytest.approx(1) for p in tree.values())
+    for doc, x in symbols.items():
+        gain = sum(math.log10(longest(tuple(x[max(0, i - 3) : i]))[s] / alphabet.base[s]) for i, s in enumerate(x))
+        assert found[doc].score == pytest.approx(found[doc].base_score + gain, abs=1e-9)
+
+
+def test_tree_grows_and_helps(spark):
+    held, sizes = held_out(7, 2), []
+    for folder in (FOLDER, "/root/testdata/sf0.01"):
+        docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+        alphabet = suffix_tree.Alphabet(suffix_tree.vocabulary(docs.where(~held)))
+        assert alphabet.base.sum() == pytest.approx(1)
+        tree = suffix_tree.grow(suffix_tree.encoded(docs, alphabet, ~held).where("train"), alphabet)
+        sizes.append(tree.contexts.count())
+    assert sizes[1] > 2 * sizes[0] > 0
+    rows = suffix_tree.score(docs, held).where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
 # 6: substrings
