@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import stored
 
+#: Tokens whose ids a task holds before it hands them on.
+HELD = 1 << 17
 #: Pieces of a group on average, and room for the windows of one in a sequence id.
 GROUP, ROOM = 2048, 20
 
@@ -140,10 +142,18 @@ def pieces(
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt", *(["ids"] if ids else [])]
+
+    def frame(rows: list) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=names)
+        if kind == "bigint":
+            out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
+
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, salt = Ids(*(files or tokenizer_files())), 0
         for part in parts:
-            rows: list = []
+            rows, size = [], 0
             for doc, text in zip(part["doc_id"], part["text"], strict=True):
                 tokens = np.append(encode(text or ""), end).astype("<u4")
                 n = len(tokens)
@@ -151,15 +161,15 @@ def pieces(
                 bounds = [*range(0, full, capacity), *range(full, n, unit), n]
                 for a, b in zip(bounds, bounds[1:], strict=False):
                     held = tokens[a:b]
-                    rows.append((doc, a, b - a, zlib.crc32(held.tobytes()), n, salt, *([held] if ids else [])))
+                    rows.append((doc, a, b - a, zlib.crc32(held.tobytes()), n, salt, *([held.astype("<i4")] if ids else [])))
                     salt += 1
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt", *(["ids"] if ids else [])]
-            out = pd.DataFrame(rows, columns=names)
-            if kind == "bigint":
-                out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                size += n
+                if ids and size >= HELD:
+                    yield frame(rows)
+                    rows, size = [], 0
+            yield frame(rows)
 
-    return docs.select("doc_id", "text").mapInPandas(cut, schema + (", ids array<long>" if ids else ""))
+    return docs.select("doc_id", "text").mapInPandas(cut, schema + (", ids array<int>" if ids else ""))
 
 
 def pack(
