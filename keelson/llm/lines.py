@@ -11,8 +11,8 @@ later run is deleted.
 Most of that costs no further pass. Before a matched window every equal line starts a window that
 lies in the match, and so is matched itself. Behind the last equal window of a match the equal lines
 all start within ``min_chars`` characters of the next line: each position brings their hashes along.
-Only where the next window first occurred elsewhere has the match to be followed, by joins that
-double their reach, until it ends or a window is joined to the same text again.
+Only where the next window first occurred elsewhere has the match to be followed, by joins of blocks
+of lines that double their reach, until it ends or a window is joined to the same text again.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import KEY, keyed, stored
 
+#: Lines of a block: what a match is followed by at a time.
+BLOCK = 64
+
 
 def windows(rows: DataFrame, min_chars: int) -> DataFrame:
     """Per line that starts a whole window: ``_id, _hash, line, last, mark, mark_line, run, next``.
@@ -60,12 +63,33 @@ def _equal(a: str, b: str) -> Column:
     return F.when(differ > 0, differ - 1).otherwise(F.greatest(F.size(a), F.size(b))).cast("int")
 
 
+def _blocks(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``_null, _id, _hash, block`` and ``name``: the values of two blocks of lines from ``block`` on.
+
+    Each line is in two rows, so that any ``BLOCK`` lines in a row lie whole in one of them. A line
+    that ``rows`` does not have is null, and left out at the end.
+    """
+    number = F.floor(F.col("line") / BLOCK).cast("int")
+    placed = rows.select(*KEY, "line", value.alias("value"), F.explode(F.array(number, number - 1)).alias("block")).where("block >= 0")
+    entry = F.struct((F.col("line") - F.col("block") * BLOCK).alias("at"), "value")
+    whole = placed.groupBy(*KEY, "block").agg(F.sort_array(F.collect_list(entry)).alias("held"))
+    before = F.concat(F.array(F.lit(-1)), F.transform("held", lambda x: x["at"]))
+    none = F.lit(None).cast(placed.schema["value"].dataType)
+
+    def with_gap(x: Column, last: Column) -> Column:
+        return F.when(x.isNull(), F.slice(F.array(none), 1, 0)).otherwise(
+            F.concat(F.array_repeat(none, x["at"] - last - 1), F.array(x["value"]))
+        )
+
+    return whole.select(*KEY, "block", F.flatten(F.zip_with("held", before, with_gap)).alias(name))
+
+
 def _followed(matches: DataFrame, near: DataFrame) -> DataFrame:
     """``_null, _id, _hash, line`` and ``s_null, s_id, s_hash, there``: the last equal windows of matches
     that go on past windows which first occurred elsewhere.
 
     A walker stands at a window (``line``) that equals one at ``there`` of the text it was matched
-    with, and looks at the next ones, twice as many in each round.
+    with, and looks at the next block of windows of both, at twice as many blocks in each round.
     """
     theirs = [f"s{c}" for c in KEY]
     after = Window.partitionBy(*KEY).orderBy("line")
@@ -78,26 +102,34 @@ def _followed(matches: DataFrame, near: DataFrame) -> DataFrame:
         (F.col("first.line") + 1).alias("there"),
     )
     walkers, reach, ends = stored(walkers, "walkers"), 1, []
-    mine = matches.select(*KEY, F.col("line").alias("at"), F.col("run").alias("run_here"), "first")
-    near = near.select(
-        *(F.col(c).alias(t) for c, t in zip(KEY, theirs, strict=True)), F.col("line").alias("at_there"), F.col("run").alias("run_there")
-    )
+    if walkers.isEmpty():
+        return walkers
+    # Which text a window was joined to, and how far apart the two lie.
+    joined_to = F.xxhash64(*(F.col(f"first.{c}") for c in KEY), (F.col("first.line") - F.col("line")).cast("bigint"))
+    mine = stored(_blocks(matches, F.struct("run", joined_to.alias("to")), "here"), "line-blocks")
+    near = stored(_blocks(near, F.col("run"), "other"), "line-blocks")
+    near = near.withColumnsRenamed({**dict(zip(KEY, theirs, strict=True)), "block": "block_there"})
+    here = F.slice("here", F.col("at") % BLOCK + 1, BLOCK)
+    there = F.slice("other", F.col("at_there") % BLOCK + 1, BLOCK)
+    same = F.xxhash64(*theirs, (F.col("there") - F.col("line")).cast("bigint"))
+    ok = F.zip_with(here, there, lambda x, y: F.coalesce((x["run"] == y) & (x["to"] != F.col("same")), F.lit(False)))
+    bad = F.array_position("ok", False).cast("int")
+    bad = F.when(F.col("ok").isNull(), 1).when(bad > 0, bad).when(F.size("ok") < BLOCK, F.size("ok") + 1)
     while not walkers.isEmpty():
-        steps = walkers.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(reach)))).withColumns(
-            {"at": F.col("line") + F.col("k"), "at_there": F.col("there") + F.col("k")}
-        )
-        seen = steps.join(mine, [*KEY, "at"], "left").join(near, [*theirs, "at_there"], "left")
-        back = F.struct(*(F.col(f"first.{c}") for c in KEY), F.col("first.line")) == F.struct(*theirs, "at_there")
-        ok = F.coalesce((F.col("run_here") == F.col("run_there")) & ~back, F.lit(False))
-        walked = stored(
-            seen.groupBy(*KEY, "line", *theirs, "there").agg(F.min(F.when(~ok, F.col("k"))).alias("stop")), "walked"
+        steps = walkers.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit((reach - 1) * BLOCK), F.lit(BLOCK)))).withColumns(
+            {"at": F.col("line") + F.col("k") + 1, "at_there": F.col("there") + F.col("k") + 1, "same": same}
         )
+        for name, at in (("block", "at"), ("block_there", "at_there")):
+            steps = steps.withColumn(name, F.floor(F.col(at) / BLOCK).cast("int"))
+        seen = steps.join(mine, [*KEY, "block"], "left").join(near, [*theirs, "block_there"], "left").withColumn("ok", ok)
+        stop = F.min(F.col("k") + bad).alias("stop")
+        walked = stored(seen.groupBy(*KEY, "line", *theirs, "there").agg(stop), "walked")
         ended = walked.where("stop IS NOT NULL")
         ends.append(ended.select(
             *KEY, (F.col("line") + F.col("stop") - 1).alias("line"), *theirs, (F.col("there") + F.col("stop") - 1).alias("there")
         ))
         walkers = walked.where("stop IS NULL").select(
-            *KEY, (F.col("line") + reach).alias("line"), *theirs, (F.col("there") + reach).alias("there")
+            *KEY, (F.col("line") + reach * BLOCK).alias("line"), *theirs, (F.col("there") + reach * BLOCK).alias("there")
         )
         reach *= 2
     return reduce(DataFrame.union, ends, walkers)
@@ -115,6 +147,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     marks = found.groupBy("mark").agg(F.min(position).alias("a"), F.max(position).alias("b"))
     # Stored, so that the joins have a shuffle on both sides, and their hot partitions are split.
     near = found.join(stored(marks.where("a != b").select("mark"), "line-marks"), "mark", "left_semi")
+    near = stored(near.select(*KEY, "line", "last", "run", "next"), "line-repeats")
     at = F.struct(*KEY, "line", "next")
     runs = near.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("final"))
     again = near.join(stored(runs.where("first != final").select("run", "first"), "line-runs"), "run")
