@@ -142,7 +142,9 @@ def test_lines_on_odd_rows(odd, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
-def test_lines_in_random_runs(spark):
+@pytest.mark.parametrize("block", [2, 64])
+def test_lines_in_random_runs(spark, monkeypatch, block):
+    monkeypatch.setattr(lines, "BLOCK", block)
     draw = random.Random(3)
     pool = ["x" * n + str(n) for n in (0, 1, 3, 9, 20, 30)]
     texts = [(i, "\n".join(draw.choice(pool) for _ in range(draw.randint(1, 14)))) for i in range(60)]
