@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import contamination, lines, packing, simhash, toxicity
-from keelson.llm.common import held_out, keyed, stored
+from keelson.llm.common import held_out, keyed
+from keelson.session import Held, working
 from keelson.sources import table
 
 
@@ -75,7 +76,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's inner tables and its input go once its output is stored, so
+    that what stays on disk is the result alone."""
+    docs, held = table(spark, sf_dir, "documents"), Held(spark, "pipeline")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with working(spark, name):
+            docs = held.put(stage(spark, docs, sf_dir))
     return docs

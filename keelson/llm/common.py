@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.session import work_dir
+from keelson.session import Held, work_dir, working
 
 #: The row key that ``keyed`` makes. None of the three is ever null, and they sort null ids last.
 KEY = ("_null", "_id", "_hash")
@@ -59,23 +59,26 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Alternates two steps until nothing changes: every node points its larger neighbours, then all
     its smaller ones, at the smallest node it knows. The number of rounds grows with the logarithm
     of the longest path. Minima are combined on the map side, stored and joined back, so that a
-    node with a third of the edges is split like any skewed join. Each round is stored.
+    node with a third of the edges is split like any skewed join. Each round is stored, and the tables of
+    the round before are removed: what is on disk does not grow with the rounds.
     """
+    spark = edges.sparkSession
+    held = Held(spark, label)
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges = stored(edges.distinct(), label)
+    edges = held.put(edges.distinct())
     before = _state(edges)
     while before[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), label)
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        large = stored(large, label)
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), label)
-        small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(
-            low.select("u", F.col("m").alias("v"))
-        )
-        edges = stored(small.distinct(), label)
+        with working(spark, label):
+            both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = stored(large.where("u != v").distinct(), "large")
+            low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+            small = large.join(low, "u")
+            small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(
+                low.select("u", F.col("m").alias("v"))
+            )
+            edges = held.put(small.distinct())
         after = _state(edges)
         if after == before:
             break

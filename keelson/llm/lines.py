@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import KEY, keyed, stored
+from keelson.session import Held, working
 
 #: Lines of a block: what a match is followed by at a time.
 BLOCK = 64
@@ -141,18 +142,24 @@ def repeated_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     The first occurrence, by document id (null last), text hash and line, stays. Every deleted line
     equals one that comes before it in this order, so no line is lost from all texts.
     """
-    found = stored(windows(keyed(docs.select("doc_id", "text")).where("row.text IS NOT NULL"), min_chars), "line-windows")
-    position = F.struct(*KEY, "mark_line")
-    # Two positions differ as soon as the least and the greatest do; both combine on the map side.
-    marks = found.groupBy("mark").agg(F.min(position).alias("a"), F.max(position).alias("b"))
-    # Stored, so that the joins have a shuffle on both sides, and their hot partitions are split.
-    near = found.join(stored(marks.where("a != b").select("mark"), "line-marks"), "mark", "left_semi")
-    near = stored(near.select(*KEY, "line", "last", "run", "next"), "line-repeats")
+    spark = docs.sparkSession
+    repeats, matches = Held(spark, "line-repeats"), Held(spark, "line-matches")
+    with working(spark, "line-windows"):
+        found = stored(windows(keyed(docs.select("doc_id", "text")).where("row.text IS NOT NULL"), min_chars), "windows")
+        position = F.struct(*KEY, "mark_line")
+        # Two positions differ as soon as the least and the greatest do; both combine on the map side.
+        marks = found.groupBy("mark").agg(F.min(position).alias("a"), F.max(position).alias("b"))
+        # Stored, so that the joins have a shuffle on both sides, and their hot partitions are split.
+        near = found.join(stored(marks.where("a != b").select("mark"), "marks"), "mark", "left_semi")
+        near = repeats.put(near.select(*KEY, "line", "last", "run", "next"))
     at = F.struct(*KEY, "line", "next")
-    runs = near.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("final"))
-    again = near.join(stored(runs.where("first != final").select("run", "first"), "line-runs"), "run")
-    again = stored(again.where(at != F.col("first")).select(*KEY, "line", "last", "run", "next", "first"), "line-matches")
-    beyond = _followed(again, near)
+    with working(spark, "line-runs"):
+        runs = near.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("final"))
+        again = near.join(stored(runs.where("first != final").select("run", "first"), "runs"), "run")
+        again = matches.put(again.where(at != F.col("first")).select(*KEY, "line", "last", "run", "next", "first"))
+    ends = Held(spark, "line-ends")
+    with working(spark, "line-walks"):
+        beyond = ends.put(_followed(again, near))
     theirs = near.select(*(F.col(c).alias(f"s{c}") for c in KEY), F.col("line").alias("there"), F.col("next").alias("next_there"))
     ends = beyond.join(again.select(*KEY, "line", "next"), [*KEY, "line"]).join(theirs, [f"s{c}" for c in KEY] + ["there"])
     late = ends.select(*KEY, "line", (F.col("line") + _equal("next", "next_there")).alias("till"))
@@ -172,7 +179,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 48) -> DataFrame:
     """
     # The lines are cut before the join: after it they are a column, which the lambda only slices.
     rows = keyed(docs).withColumn("lines", F.split("row.text", "\n", -1))
-    joined = rows.join(repeated_lines(docs, min_chars), list(KEY), "left")
+    spark = docs.sparkSession
+    found = Held(spark, "removed-lines")
+    with working(spark, "line-dedup"):  # only the numbers of the lines stay on disk while texts move
+        removed = found.put(repeated_lines(docs, min_chars))
+    joined = rows.join(removed, list(KEY), "left")
     gaps = F.zip_with(
         F.concat(F.array(F.lit(-1)), "removed"),
         F.concat("removed", F.array(F.size("lines"))),

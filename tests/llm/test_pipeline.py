@@ -1,10 +1,13 @@
 """The stages one after the other, against the operators' brute-force versions."""
 
+from pathlib import Path
+
 import numpy as np
 
 import corpus_pipeline
 from keelson.llm import simhash, toxicity
-from keelson.llm.common import held_out
+from keelson.llm.common import components, held_out, stored
+from keelson.session import work_dir
 from tests.llm.test_texts import brute_components, brute_lines
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +17,7 @@ def test_stages_on_whole_tables(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     names, steps = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), f"test-{name}")
+        docs = stored(stage(spark, docs, FOLDER), f"test-{name}")
         steps[name] = docs
         assert name == "packing" or docs.columns == names
     pairs = {k: [(r.doc_id, r.text) for r in v.orderBy("doc_id").collect()] for k, v in steps.items() if k != "packing"}
@@ -58,3 +61,24 @@ def test_a_changed_text_has_its_length(spark, odd):
     rows = stage(spark, odd, FOLDER).select("text", "n_chars").collect()
     assert all((r.n_chars is None) if r.text is None else r.n_chars == len(r.text) for r in rows)
     assert simhash.keep_one(odd).count() < odd.count()
+
+
+def shared(spark):
+    return Path(work_dir(spark, "probe").removeprefix("file:")).parent
+
+
+def test_only_the_result_of_a_run_stays_on_disk(spark):
+    before = set(shared(spark).iterdir())
+    found = corpus_pipeline.run(spark, FOLDER)
+    (left,) = set(shared(spark).iterdir()) - before
+    assert left.name.startswith("pipeline-") and len(list(left.iterdir())) == 1
+    assert found.count() > 0
+
+
+def test_rounds_of_components_leave_one_table(spark):
+    before = set(shared(spark).iterdir())
+    edges = spark.range(300).selectExpr("id AS u", "id + 1 AS v")
+    found = components(edges, "path")
+    (left,) = set(shared(spark).iterdir()) - before
+    assert len(list(left.iterdir())) == 1
+    assert found.where("root = 0").count() == 301
