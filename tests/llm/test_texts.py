@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -76,9 +77,35 @@ def test_links_lose_no_pair(spark):
                 x ^= 1 << draw.randrange(64)
             prints.add(x)
     signed = sorted(x - 2**64 if x >= 2**63 else x for x in prints)
-    got = {tuple(r) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fingerprint bigint")).collect()}
+    rows = spark.createDataFrame([(x,) for x in signed], "fingerprint bigint")
     want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % 2**64).bit_count() <= 3}
-    assert got == want and len(want) > 100
+    for width in (None, 24, 32, 40):
+        assert {tuple(r) for r in simhash.links(rows, width).collect()} == want
+    assert len(want) > 100
+
+
+@pytest.mark.parametrize("width", [24, 32, 40])
+def test_every_difference_of_three_bits_meets_in_a_key(width):
+    """Each set of at most three bits leaves one key of some start untouched, and the chain viable."""
+    plans = [
+        (sum(((1 << size) - 1) << (16 * ((start + segment) % 4) + low) for segment, low, size in pieces), start)
+        for pieces in simhash.PLANS[width]
+        for start in range(4)
+    ]
+    assert {mask.bit_count() for mask, _ in plans} == {width} and len(set(plans)) == len(plans)
+
+    def viable(x, start):
+        counts = [(x >> (16 * ((start + i) % 4)) & 0xFFFF).bit_count() for i in range(4)]
+        return all(sum(counts[: n + 1]) <= (n + 1) * 3 // 4 for n in range(4))
+
+    for n in range(4):
+        for bits in combinations(range(64), n):
+            x = sum(1 << b for b in bits)
+            assert any(not x & mask and viable(x, start) for mask, start in plans)
+
+
+def test_wider_keys_for_more_fingerprints():
+    assert [simhash.key_width(n) for n in (0, 10**6, 10**9, 10**11)] == [24, 24, 32, 40]
 
 
 def test_component_of_a_long_path(spark):
