@@ -20,6 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Blocks of a side that an ALS fit has at least, if there are as many shuffle partitions, and the ratings
+#: of a block beyond which it has more. Each factor is sent to each block of the other side that rated
+#: it, in every half-iteration: blocks cost, but for memory and tasks they are not needed.
+LEAST_BLOCKS, BLOCK_RATINGS = 12, 1 << 24
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` stored for the length of a fit, which reads it several times."""
@@ -60,10 +66,23 @@ def als_model(
     """Explicit-feedback ALS on ``(user, item, rating)``; ids must fit an int: see ``numbered``.
 
     ``blocks`` sets the user and item blocks, hence the tasks per half-iteration; by default as many
-    as ``spark.sql.shuffle.partitions``.
+    as ``spark.sql.shuffle.partitions``, but no more than ``fit_blocks`` says.
     """
-    blocks = blocks or int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    als = ALS(
+    with kept(ratings) as rows:
+        blocks = blocks or fit_blocks(rows)
+        return _als(rank, max_iter, reg, seed, blocks).fit(rows)
+
+
+def fit_blocks(ratings: DataFrame) -> int:
+    """Blocks for a fit: enough for all cores, and for ``BLOCK_RATINGS`` ratings in each."""
+    spark = ratings.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = max(LEAST_BLOCKS, spark.sparkContext.defaultParallelism)
+    return most if most <= needed else min(most, max(needed, -(-ratings.count() // BLOCK_RATINGS)))
+
+
+def _als(rank: int, max_iter: int, reg: float, seed: int, blocks: int) -> ALS:
+    return ALS(
         rank=rank,
         maxIter=max_iter,
         regParam=reg,
@@ -74,8 +93,6 @@ def als_model(
         itemCol="item",
         ratingCol="rating",
     )
-    with kept(ratings) as rows:
-        return als.fit(rows)
 
 
 def als_recommend(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:

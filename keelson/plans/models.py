@@ -11,6 +11,7 @@ from keelson.operators.ranking import attach_name, top_k
 from keelson.operators.splits import hash_cuts, hash_split
 from keelson.plans.registry import query
 from keelson.plans.similarity import part_ratings
+from keelson.session import keep
 from keelson.sources import table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -23,8 +24,10 @@ TRAIN_SQL = (
 
 def _recommended(spark, folder, users, k):
     """``(user, item, score, rank)`` for the users of ``users (user)`` that bought anything."""
-    ratings = part_ratings(spark, folder)
-    buyers, parts = models.numbered(ratings, "user"), models.numbered(ratings, "item")
+    # Stored once: numbering, fit and names all read them.
+    ratings = keep(part_ratings(spark, folder), "part-ratings")
+    buyers = keep(models.numbered(ratings, "user"), "buyers")
+    parts = keep(models.numbered(ratings, "item"), "bought-parts")
     dense = (
         ratings.join(buyers.withColumnRenamed("number", "u"), "user")
         .join(parts.withColumnRenamed("number", "i"), "item")

@@ -57,3 +57,17 @@ def test_dense_numbers_for_any_ids(spark):
         found = {r.user: r.number for r in models.numbered(df, "user", parts).collect()}
         assert set(found) == set(ids) and sorted(found.values()) == list(range(300))
     assert models.numbered(df.limit(0), "user").count() == 0
+
+
+def test_blocks_do_not_grow_with_partitions(spark, monkeypatch):
+    """Every factor is sent to each block that needs it, so that blocks are what a fit shuffles."""
+    ratings = spark.createDataFrame([(u, i, 1.0) for u in range(10) for i in range(10)], "user int, item int, rating double")
+    cores = max(models.LEAST_BLOCKS, spark.sparkContext.defaultParallelism)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, rows, want in ((5, 10, 5), (900, 100, cores), (900, 1, 100), (50, 1, max(cores, 50))):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            monkeypatch.setattr(models, "BLOCK_RATINGS", rows)
+            assert models.fit_blocks(ratings) == min(want, partitions)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
