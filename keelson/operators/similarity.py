@@ -16,6 +16,9 @@ from keelson.session import keep
 # Largest number of items of one user that a work unit pairs with each other. It bounds a
 # unit's memory, not the result: users with more items are split into several units.
 UNIT_ITEMS = 256
+# Pairs that a task counts where each pair is moved in a list. The pairs of an item with four times as
+# many are dealt to all tasks.
+TASK_PAIRS = 1 << 22
 
 
 def unique_ratings(ratings: DataFrame) -> DataFrame:
@@ -27,17 +30,76 @@ def unique_ratings(ratings: DataFrame) -> DataFrame:
 def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
     """``(item_x, item_y, sum_xx, sum_xy, sum_yy, strength)`` for co-rated items, ``item_x < item_y``.
 
-    A self-join cut into units of bounded size, then one aggregate that combines on the map side.
-    The usual user is one unit. A user with more than ``UNIT_ITEMS`` items has them hashed to blocks
-    and one unit for every two blocks, so the pairs of the hottest user are spread over the cluster.
-    ``ratings`` are unique per (user, item). The full table is quadratic in a user's items by
-    nature; with ``min_strength`` items with too few raters are dropped first, which is exact.
+    A self-join cut into units of bounded size, then one aggregate. The usual user is one unit. A user
+    with more than ``UNIT_ITEMS`` items has them hashed to blocks and one unit for every two blocks, so
+    the pairs of the hottest user are spread over the cluster. ``ratings`` are unique per (user, item).
+    The full table is quadratic in a user's items by nature; with ``min_strength`` items with too few
+    raters are dropped first, which is exact.
+
+    Pairs of few items are combined on the map side and moved as rows. Where most pairs occur once that
+    would only move them all: each item of a user then goes with the list of the greater ones to the
+    task that counts its pairs. The ratings are stored, as they are counted before they are paired.
     """
     if min_strength > 1:
         frequent = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("raters"))
         frequent = frequent.where(F.col("raters") >= min_strength).select("item")
         ratings = ratings.join(frequent, "item", "left_semi")
+    pairs = _pairs(keep(ratings.select("user", "item", "rating"), "paired-ratings"))
+    return pairs.where(F.col("strength") >= min_strength) if min_strength > 1 else pairs
+
+
+def _widths(ratings: DataFrame) -> list[tuple[int, int]]:
+    """``(items, users)``, how many users rated so many items: rows like the root of the ratings at most."""
+    width = ratings.where(F.col("user").isNotNull()).groupBy("user").agg(F.count(F.lit(1)).alias("items"))
+    return [tuple(r) for r in width.groupBy("items").agg(F.count(F.lit(1)).alias("users")).collect()]
+
+
+def _fits(column: str, kind: str):
+    """Whether all values of a column, but nulls, are the same in a narrower type."""
+    same = F.expr(f"try_cast({column} AS {kind}) = {column}")
+    return F.coalesce(F.bool_and(F.coalesce(same, F.col(column).isNull())), F.lit(True)).alias(f"{column}_{kind}")
+
+
+def _pairs(ratings: DataFrame) -> DataFrame:
+    """``item_pairs`` of stored ratings."""
+    tasks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    widths = _widths(ratings)
+    rows = sum(n * w * (w - 1) // 2 for w, n in widths)
+    types = dict(ratings.dtypes)
+    tried = [("rating", k) for k in ("tinyint", "smallint", "float")]
+    tried += [("item", "int")] if types["item"] == "bigint" else []
+    raters = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("raters"))
+    known = raters.agg(F.count(F.lit(1)).alias("items"), F.max("raters").alias("most")).first()
+    if known["items"] ** 2 / 2 * tasks <= rows / 2:
+        return _summed(_unit_pairs(ratings, tasks), types)
+    # As an item of an average list; at most a quarter of the tasks' number have more.
+    much = 4 * TASK_PAIRS * sum(w * n for w, n in widths) / max(rows, 1)
+    hot = [r["item"] for r in raters.where(F.col("raters") > much).collect()] if (known["most"] or 0) > much else []
+    facts = ratings.agg(*(_fits(*x) for x in tried)).first()
+    narrow = {c: next((k for c_, k in tried if c_ == c and facts[f"{c}_{k}"]), types[c]) for c in ("item", "rating")}
+    ratings = ratings.select("user", *(F.col(c).cast(k).alias(c) for c, k in narrow.items()))
+    tasks, widest = max(tasks, -(-rows // TASK_PAIRS)), max((w for w, _ in widths), default=0)
+    return _summed(_listed_pairs(ratings, widest, tasks, hot), types, *(["dealt"] if hot else []))
+
+
+def _summed(pairs: DataFrame, types: dict[str, str], *dealt: str) -> DataFrame:
+    """Sums of ``pairs (item_x, item_y, x, y)``, with the types that the ratings had.
+
+    ``dealt`` names what the pairs are dealt by besides ``item_x``, a function of both items.
+    """
+    a, b = (F.col(c).cast(types["rating"]) for c in "xy")
+    summed = pairs.groupBy("item_x", *dealt, "item_y").agg(
+        F.sum(a * a).alias("sum_xx"),
+        F.sum(a * b).alias("sum_xy"),
+        F.sum(b * b).alias("sum_yy"),
+        F.count(F.lit(1)).alias("strength"),
+    )
+    item = [F.col(c).cast(types["item"]).alias(c) for c in ("item_x", "item_y")]
+    return summed.select(*item, "sum_xx", "sum_xy", "sum_yy", "strength")
 
+
+def _units(ratings: DataFrame, tasks: int) -> DataFrame:
+    """``(user, left, right, block, item, rating)``: each item once in each unit of its user."""
     # Counting the rating, not the rows, keeps this branch's columns equal to the other's, so that
     # both read one shuffle of the ratings.
     blocks = (
@@ -46,8 +108,7 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
     )
     block = F.pmod(F.xxhash64("item"), F.col("blocks"))
     # A fixed number of partitions: by their bytes AQE would merge them, but work is quadratic.
-    tasks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = (
+    return (
         ratings.join(blocks, "user")
         .select("user", "item", "rating", block.alias("block"), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1).alias("peers"))
         .withColumn("peer", F.explode("peers"))
@@ -61,22 +122,50 @@ def item_pairs(ratings: DataFrame, min_strength: int = 1) -> DataFrame:
         )
         .repartition(tasks, "user", "left", "right")
     )
+
+
+def _unit_pairs(ratings: DataFrame, tasks: int) -> DataFrame:
+    """``(item_x, item_y, x, y)`` by a join of the units with themselves."""
+    units = _units(ratings, tasks)
     x, y = units.alias("x"), units.alias("y")
     same_unit = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("user", "left", "right")]
     # A unit of two blocks pairs one with the other; the pairs inside a block have their own unit.
     met = (F.col("x.left") == F.col("x.right")) | (F.col("x.block") != F.col("y.block"))
-    a, b = F.col("x.rating"), F.col("y.rating")
-    pairs = (
-        x.join(y, [*same_unit, F.col("x.item") < F.col("y.item"), met])
-        .groupBy(F.col("x.item").alias("item_x"), F.col("y.item").alias("item_y"))
-        .agg(
-            F.sum(a * a).alias("sum_xx"),
-            F.sum(a * b).alias("sum_xy"),
-            F.sum(b * b).alias("sum_yy"),
-            F.count(F.lit(1)).alias("strength"),
-        )
+    return x.join(y, [*same_unit, F.col("x.item") < F.col("y.item"), met]).select(
+        F.col("x.item").alias("item_x"), F.col("y.item").alias("item_y"), F.col("x.rating").alias("x"), F.col("y.rating").alias("y")
     )
-    return pairs.where(F.col("strength") >= min_strength) if min_strength > 1 else pairs
+
+
+def _listed_pairs(ratings: DataFrame, widest: int, tasks: int, hot: list) -> DataFrame:
+    """The same, dealt by ``item_x`` to so many tasks in lists, so that sums need no further shuffle.
+
+    The pairs of ``hot`` items, if there are any, are dealt by both items, ``dealt`` being a hash of the
+    other one.
+    """
+    if widest <= UNIT_ITEMS:
+        units = ratings.where("user IS NOT NULL AND item IS NOT NULL").withColumn("block", F.lit(0).cast("bigint"))
+        key, one = ["user"], F.lit(True)
+    else:
+        parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        units = _units(ratings.where("item IS NOT NULL"), parts)
+        key, one = ["user", "left", "right"], F.col("left") == F.col("right")
+    lists = units.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("item", "block", "rating"))).alias("all"))
+    rest = F.slice("all", F.col("pos") + 2, F.size("all") - F.col("pos") - 1)
+    rows = lists.where(F.size("all") > 1).select(one.alias("one"), "all", F.posexplode("all").alias("pos", "of"))
+    # A unit of two blocks pairs one with the other; the pairs inside a block have their own unit.
+    rest = F.when(F.col("one"), rest).otherwise(F.filter(rest, lambda y: y["block"] != F.col("of.block")))
+    rows = rows.select(F.col("of.item").alias("item_x"), F.col("of.rating").alias("x"), rest.alias("rest")).where(F.size("rest") > 0)
+    by = ["item_x", "dealt"] if hot else ["item_x"]  # a constant would hide from the sums how rows are dealt
+    if hot:
+        common = F.col("item_x").isin(hot)
+        apart = rows.where(common).select("item_x", "x", F.explode("rest").alias("y"))
+        apart = apart.select("item_x", "x", F.array("y").alias("rest"), F.pmod(F.xxhash64("y.item"), F.lit(tasks)).alias("dealt"))
+        rows = rows.where(~common).withColumn("dealt", F.lit(-1).cast("bigint")).union(apart)
+    # Two lists of plain values are far smaller than one of rows.
+    rows = rows.select(*by, "x", F.col("rest.item").alias("items"), F.col("rest.rating").alias("ratings"))
+    rows = rows.repartition(tasks, *by)
+    pairs = rows.select(*by, "x", "ratings", F.posexplode("items").alias("at", "item_y"))
+    return pairs.select(*by, "item_y", "x", F.col("ratings")[F.col("at")].alias("y")).where("item_x < item_y")
 
 
 def cosine(pairs: DataFrame, zero: float | None = 0.0) -> DataFrame:
@@ -106,7 +195,7 @@ def pair_candidates(ratings: DataFrame, min_score: float, min_strength: int) ->
     ranked = keep(rated.join(width, "user"), "ranked-ratings")
     tail = keep(top_k_per_group(ranked, ["item"], ["-width", "user"], few).select("item", "user", "rating"), "tails")
     head = keep(ranked.join(tail, ["item", "user"], "left_anti").select("item", "user", "rating"), "heads")
-    shared = item_pairs(head).where(F.col("strength") >= t - few)
+    shared = _pairs(head).where(F.col("strength") >= t - few)
     # One row for each item: the optimizer broadcasts it below its threshold.
     for side in ("x", "y"):
         peak = raters.select(F.col("item").alias(f"item_{side}"), F.col("peak").alias(f"peak_{side}"))

@@ -123,3 +123,21 @@ def test_few_pairs_are_candidates(spark):
     scores = sim.cosine(sim.item_pairs(ratings))
     assert passed == scores.where("score > 0.9 AND strength > 9").count() > 100
     assert passed <= found.count() < every / 5
+
+
+@pytest.mark.parametrize("unit, task", [(256, 1 << 22), (256, 20), (4, 1 << 22), (1, 5)])
+def test_listed_pairs_equal_brute_force(spark, monkeypatch, unit, task):
+    """Where most pairs occur once each moves in a list and is summed where it arrives; hot items apart."""
+    monkeypatch.setattr(sim, "UNIT_ITEMS", unit)
+    monkeypatch.setattr(sim, "TASK_PAIRS", task)
+    rng = random.Random(3)
+    ratings = [(u, i, r) for u in range(60) for i, r in {0: 3, 5000: 1.5} .items()]
+    ratings += [(u, i, rng.choice([1, 2.5, 300, -4])) for u in range(60) for i in rng.sample(range(1, 4000), 7)]
+    df = spark.createDataFrame([(u, i + 2**33, float(r)) for u, i, r in ratings] + [(None, 1, 1.0), (1, None, 1.0)], "user bigint, item bigint, rating double")
+    pairs = sim.item_pairs(df)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    # Above where the lists are taken apart, that is before it in the plan, nothing is shuffled.
+    assert "Exchange" not in plan.partition("posexplode(items")[0] and "posexplode(items" in plan
+    got = {(r.item_x - 2**33, r.item_y - 2**33): (r.sum_xx, r.sum_xy, r.sum_yy, r.strength) for r in pairs.collect()}
+    assert got == brute(ratings)
+    assert pairs.count() == len(got) and pairs.schema == sim.item_pairs(df.limit(0)).schema
