@@ -184,13 +184,29 @@ def pair_candidates(ratings: DataFrame, min_score: float, min_strength: int) ->
     Cauchy and Schwarz they cannot lift ``xy / p`` above ``(xy + g) / (p + g)``, where ``p`` is the
     product of the norms so far and ``g`` that of the largest norms that can be missing. Pairs that
     fail either bound are no candidates. What is quadratic in a user's items is left to heads, which
-    the users with most items are hardly in.
+    the users with most items are hardly in. Where tails cannot take half of the pairs, as no user
+    stands out, heads are all ratings and tails are empty; the sums are then whole.
     """
     t = min_strength + 1
     few = t // 2
     raters = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("raters"), F.max(F.col("rating") * F.col("rating")).alias("peak"))
     raters = keep(raters.where(F.col("raters") >= t), "raters")
-    rated = ratings.join(raters.select("item"), "item", "left_semi")
+    rated = ratings.join(raters.select("item"), "item", "left_semi").select("user", "item", "rating")
+    rated = keep(rated, "rated")
+    widths = sorted(_widths(rated), reverse=True)
+    # At best all that tails hold are whole users, those with most items.
+    room, pairs_left = few * raters.count(), sum(n * w * (w - 1) // 2 for w, n in widths)
+    half = pairs_left / 2
+    for w, n in widths:
+        taken = min(n, -(-room // w))
+        room, pairs_left = room - taken * w, pairs_left - taken * (w * (w - 1) // 2)
+        if room <= 0:
+            break
+    if pairs_left > half:
+        met = _pairs(rated).where(F.col("strength") >= t)
+        able = F.col("sum_xy") >= (min_score - 1e-9) * F.sqrt("sum_xx") * F.sqrt("sum_yy")
+        items = rated.select("item", "user", "rating")
+        return keep(met.where(able), "pair-candidates"), items, items.where(F.lit(False))
     width = rated.groupBy("user").agg(F.count(F.lit(1)).alias("width"))
     ranked = keep(rated.join(width, "user"), "ranked-ratings")
     tail = keep(top_k_per_group(ranked, ["item"], ["-width", "user"], few).select("item", "user", "rating"), "tails")

@@ -141,3 +141,15 @@ def test_listed_pairs_equal_brute_force(spark, monkeypatch, unit, task):
     got = {(r.item_x - 2**33, r.item_y - 2**33): (r.sum_xx, r.sum_xy, r.sum_yy, r.strength) for r in pairs.collect()}
     assert got == brute(ratings)
     assert pairs.count() == len(got) and pairs.schema == sim.item_pairs(df.limit(0)).schema
+
+
+def test_tails_are_empty_where_no_user_stands_out(spark):
+    """Heads would then be almost all ratings, and their pairs almost all pairs."""
+    rng = random.Random(5)
+    rated = [(u, i, float(rng.randint(1, 5))) for u in range(200) for i in rng.sample(range(12), 6)]
+    ratings = spark.createDataFrame(rated, "user bigint, item bigint, rating double")
+    found, head, tail = sim.pair_candidates(ratings, 0.8, 3)
+    assert head.count() == len(rated) and tail.count() == 0
+    want = {k: n for k, (xx, xy, yy, n) in brute(rated).items() if n > 3 and xy / math.sqrt(xx * yy) > 0.8}
+    assert {(r.item_x, r.item_y): r.strength for r in sim.similar_pairs(ratings, 0.8, 3).collect()} == want
+    assert found.count() >= len(want) > 0
