@@ -14,6 +14,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from keelson.llm import contamination, language, lines, packing, secret_scan, simhash, substrings, suffix_tree, toxicity
 from keelson.llm.common import held_out, key_id
@@ -397,6 +398,26 @@ def test_tree_grows_and_helps(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_frequent_words_are_symbols_of_their_own(spark):
+    """600 words with the same last bytes, each as often as a context must occur, and their followers."""
+    pairs = [f"a{i}zz b{i}yy" for i in range(600)]
+    draw = random.Random(5)
+    texts = [(i, " ".join(draw.sample(pairs, 600))) for i in range(60)]
+    texts += [(1000, " ".join(pairs)), (1001, " ".join(f"a{i}zz b{(i + 1) % 600}yy" for i in range(600)))]
+    docs, held = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), F.col("doc_id") >= 1000
+    alphabet = suffix_tree.Alphabet(suffix_tree.vocabulary(docs.where(~held)))
+    assert alphabet.size == 1202
+    found = []
+    for alphabet.kind in ("<u2", "<u4"):
+        rows = suffix_tree.encoded(docs, alphabet, ~held).cache()
+        tree = suffix_tree.grow(rows.where("train"), alphabet)
+        assert tree.contexts.where("level = 1").count() >= 600
+        for by in (suffix_tree.gains_by_table, suffix_tree.gains_by_blocks):
+            found.append({r.doc_id: r.gain for r in by(rows, tree).join(rows, "row").where("doc_id >= 1000").collect()})
+    assert all(x == pytest.approx(found[0], rel=1e-12) for x in found)
+    assert found[0][1000] > 1000 and found[0][1000] > found[0][1001] + 1000
+
+
 # 6: substrings
 
 
