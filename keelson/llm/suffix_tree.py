@@ -18,6 +18,7 @@ one, each chunk of texts asks the blocks for the codes that it holds.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -233,12 +234,14 @@ def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Numbers of at least 0 in as few bytes each as the largest needs."""
-    return numbers.astype(np.min_scalar_type(numbers.max())).tobytes()
+    """Numbers of at least 0, compressed byte by byte: first the lowest bytes of all, and so on."""
+    few = numbers.astype(np.min_scalar_type(numbers.max()))
+    return zlib.compress(few.view(np.uint8).reshape(len(few), -1).T.tobytes(), 1)
 
 
 def unpack(raw: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // size}").astype(np.int64)
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(-1, size)
+    return np.ascontiguousarray(planes.T).view(f"<u{len(planes)}").ravel().astype(np.int64)
 
 
 class Contexts:
